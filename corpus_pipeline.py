@@ -1,5 +1,65 @@
-"""placeholder"""
+"""A corpus from raw documents to token ids: quality, near-duplicates, personal data, mixture, encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read
+again as the next stage's docs.  All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from ridgeline.llm import bpe, minhash, mixing, pii, quality
+from ridgeline.llm.common import delete_at_exit, shared_dir, table
+
+#: Rows depend on stages that SQL can't express (signatures, encoding); tests hold them against brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, 0.8)."""
+    return minhash.keep_one(docs, words=5, percent=80)
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with sanitised texts."""
+    return pii.sanitize(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: documents as often as their source's target takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the encoded and decoded texts."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_dedup),
+    ("private data", private_data),
+    ("source mix", source_mix),
+    ("encoding", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn over documents; what lies between them is kept in the shared folder until this process ends."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    delete_at_exit(spark, folder)
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
+    return docs

@@ -5,10 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import bpe, chat, mixing, pii, quality, sstable, topk, url_rules
+from ridgeline.llm import bpe, chat, minhash, mixing, pii, pseudo_likelihood, quality, sstable, topk, url_rules
 from ridgeline.llm.common import table
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.score(table(spark, sf_dir, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -44,6 +53,8 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op2_pseudo_likelihood": op2_pseudo_likelihood,
     "op3_url_rules": op3_url_rules,
     "op4_quality_rules": op4_quality_rules,
     "op5_token_shards": op5_token_shards,
