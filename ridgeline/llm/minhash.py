@@ -9,7 +9,8 @@
    join members into components.
 4. In buckets that still hold several components, members of different components are held
    against each other, in blocks of bounded size; the largest component of a bucket is compared
-   with the rest only, not with itself.  A pair is looked at in the first band it shares.
+   with the rest only, not with itself.  A pair is looked at in the first band it shares, and
+   candidates stay lists inside the rows of a block, never a row for each pair.
 5. "Held against" means: signatures are compared in batches of ``BATCH`` values; with a uniform
    prior, a pair is dropped as soon as the posterior probability that its similarity reaches the
    threshold falls below ``MISS``.  Survivors are verified exactly on their full shingle sets.
@@ -226,8 +227,11 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that the signatures leave possible."""
+def cross_tasks(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
+    """What remains to be verified between members of one bucket and different components: rows of
+    ``task``, ``id``, ``part`` and ``with`` (packed ids that the signatures leave possible for this
+    one, or null if it is only named by others).  A task holds about two blocks of members at most,
+    so candidates are named in lists inside rows, never as a row for each pair."""
     steps = least_matches(percent, size)
     placed = members.join(labels.select("id", F.col("root").alias("part")), "id", "left").withColumn("part", F.coalesce("part", "id"))
     placed = materialize(placed)
@@ -243,12 +247,12 @@ def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, perce
     signed = dealt.join(classes.select("id", "sig"), "id").select("bucket", "i", "j", "band", "id", "part", "block", "sig")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, i, j, band), ids, part, block, sigs in _groups(batches, size):
+        for (bucket, i, j, band), ids, part, block, sigs in _groups(batches, size):
             first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
             step = max(1, 200_000 // max(1, len(second)))
+            left, right = [], []
             for at in range(0, len(first), step):
-                mine = first[at : at + step]
-                x, y = (g.ravel() for g in np.meshgrid(mine, second, indexing="ij"))
+                x, y = (g.ravel() for g in np.meshgrid(first[at : at + step], second, indexing="ij"))
                 use = (part[x] != part[y]) & ((ids[x] < ids[y]) | (i != j))
                 x, y = x[use], y[use]
                 kept = survives(sigs[x], sigs[y], steps)
@@ -256,38 +260,87 @@ def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, perce
                 if band and len(x):
                     earlier = (sigs[x, : band * ROWS] == sigs[y, : band * ROWS]).reshape(len(x), band, ROWS).all(axis=2).any(axis=1)
                     x, y = x[~earlier], y[~earlier]
-                if len(x):
-                    yield pa.record_batch([pa.array(np.minimum(ids[x], ids[y])), pa.array(np.maximum(ids[x], ids[y]))], names=["a", "b"])
+                left.append(x)
+                right.append(y)
+            x, y = np.concatenate(left or [[]]).astype(np.int64), np.concatenate(right or [[]]).astype(np.int64)
+            if len(x):
+                task = int.from_bytes(hashlib.blake2b(np.array([bucket, i, j], dtype=np.int64).tobytes(), digest_size=8).digest(), "little", signed=True)
+                named, order = np.union1d(x, y), np.argsort(x, kind="stable")
+                lists = [ids[run].tobytes() or None for run in np.split(y[order], np.searchsorted(x[order], named[1:]))]
+                yield pa.record_batch([pa.array(np.full(len(named), task)), pa.array(ids[named]), pa.array(part[named]), pa.array(lists, pa.binary())], names=["task", "id", "part", "with"])
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = signed.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return keyed.mapInArrow(compare, "a long, b long")
+    keyed = signed.repartition(n, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "band")
+    return keyed.mapInArrow(compare, "task long, id long, part long, with binary")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], size: int):
-    """(key, ids, parts, blocks, signatures) of each run of equal (bucket, i, j); a run has about two blocks."""
-    held: list[pa.RecordBatch] = []
-    key = None
-
-    def closed():
-        table = pa.Table.from_batches(held)
-        return key, *(table.column(c).to_numpy() for c in ("id", "part", "block")), _matrix(table.column("sig").combine_chunks() if table.num_rows else table.column("sig"), size)
+def cross_links(tasks: DataFrame, docs: DataFrame, percent: int, words: int, size: int) -> DataFrame:
+    """Verified links (a, b) of the tasks' candidates on full shingle sets: one at most for each
+    document and component, which connects as well as all of them."""
 
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, ("task",)):
+            table = pa.Table.from_batches(group)
+            ids, part = table.column("id").to_pylist(), table.column("part").to_pylist()
+            sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("set")]
+            rows: dict[int, list[int]] = {}
+            for k, i in enumerate(ids):
+                rows.setdefault(i, []).append(k)
+            a, b = [], []
+            for k, named in enumerate(table.column("with")):
+                if not named.is_valid:
+                    continue
+                others = [r for i in np.frombuffer(named.as_buffer(), dtype=np.int64).tolist() for r in rows[i]]
+                met = set()
+                for at in range(0, len(others), 64):
+                    for r in _linked(sets[k], others[at : at + 64], sets, percent):
+                        if part[r] not in met:
+                            met.add(part[r])
+                            a.append(ids[k])
+                            b.append(ids[r])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    ids = materialize(tasks.select("id").distinct())
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = tasks.join(shingle_sets(docs, ids, words, size), "id").repartition(n, "task").sortWithinPartitions("task")
+    return keyed.select("task", "id", "part", "with", "set").mapInArrow(confirm, "a long, b long")
+
+
+def _linked(own: np.ndarray, others: list[int], sets: list[np.ndarray], percent: int) -> list[int]:
+    """Those of the other sets that reach the threshold with this one."""
+    lengths = np.array([len(sets[r]) for r in others])
+    laid = np.concatenate([sets[r] for r in others])
+    found = own[np.minimum(np.searchsorted(own, laid), len(own) - 1)] == laid
+    both = np.add.reduceat(found.astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+    return [others[i] for i in np.flatnonzero(100 * both >= percent * (len(own) + lengths - both))]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...]) -> Iterator[list[pa.RecordBatch]]:
+    """The batches of each run of equal keys in sorted rows."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "band")), strict=True))
         at = 0
-        for k, run in itertools.groupby(keys):
+        for k, run in itertools.groupby(zip(*(batch.column(c).to_pylist() for c in key), strict=True)):
             n = sum(1 for _ in run)
-            if held and k != key:
-                yield closed()
+            if held and k != last:
+                yield held
                 held = []
-            key = k
+            last = k
             held.append(batch.slice(at, n))
             at += n
     if held:
-        yield closed()
+        yield held
+
+
+def _groups(batches: Iterator[pa.RecordBatch], size: int):
+    """(key, ids, parts, blocks, signatures) of each run of equal (bucket, i, j); a run has about two blocks."""
+    for group in _runs(batches, ("bucket", "i", "j", "band")):
+        table = pa.Table.from_batches(group)
+        key = tuple(table.column(c)[0].as_py() for c in ("bucket", "i", "j", "band"))
+        yield key, *(table.column(c).to_numpy() for c in ("id", "part", "block")), _matrix(table.column("sig").combine_chunks(), size)
 
 
 def near_duplicates(df: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,8 +367,8 @@ def near_duplicates(df: DataFrame, *, words: int = 5, percent: int = 80, id_col:
     stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     links = verify(materialize(prune(stars, classes, percent, size)), docs, percent, words, size)
     labels = components(links)
-    crossed = materialize(cross_pairs(members.drop("lead"), labels, classes, percent, size))
-    more = verify(crossed, docs, percent, words, size)
+    crossed = materialize(cross_tasks(members.drop("lead"), labels, classes, percent, size))
+    more = cross_links(crossed, docs, percent, words, size)
     of = lambda x: labels.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}"))
     between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     second = components(between)
