@@ -46,7 +46,9 @@ INDEX = struct.Struct("<9sQIIQ")
 FOOTER = struct.Struct("<6QI4x8s")
 BITS_A_KEY, PROBES = 10, 7
 #: Entries that a task's dictionary of words may hold before it is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
+#: Words of more bytes aren't kept in it.
+LONG_WORD = 64
 
 
 def key_of(identifier: int | None) -> bytes:
@@ -170,57 +172,69 @@ class WordIds(dict):
     """Word -> packed ids, from the library's own encoder.
 
     The vocabulary's normaliser and splitter treat blanks as borders that no token and no
-    composed character crosses, so a text's ids are its words' ids in a row.  Likewise a word of
-    ASCII letters and the comma or full stop behind it are encoded apart, and A-Z like a-z.
+    composed character crosses, so a text's ids are its words' ids in a row.  Likewise letters
+    and the comma or full stop behind them are encoded apart.  Words of letters alone are encoded
+    many in a call; small ASCII letters pass the normaliser unchanged, so they go round it.
     """
 
     def __init__(self, tokenizer):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         super().__init__()
         self.tokenizer = tokenizer
+        self.bare = Tokenizer(tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         names = tokenizer.get_vocab()
         self.closes = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        self.marks = {m: self._alone([m.decode()])[0] for m in (b",", b".")}
-
-    def _alone(self, fresh: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-
-    def _plain(self, fresh: list[bytes]) -> dict[bytes, bytes]:
-        """Lower-case ASCII words, many in one call: each closes with a token that ends a word."""
-        found = {}
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            lines = [b" ".join(part[i : i + 200]).decode() for i in range(0, len(part), 200)]
-            ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
-            ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary doesn't close each word with one token")
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(part, ends, strict=True):
-                found[word] = packed[start:end]
-                start = end
-        return found
+        self.pending: set[bytes] = set()
+        self.loose: set[bytes] = set()  # the rare words of letters whose small form isn't letters alone
+        self.marks = {m: self._alone([m])[0] for m in (b",", b".")}
+
+    def __missing__(self, word: bytes) -> None:
+        self.pending.add(word)
+
+    def _alone(self, words: list[bytes]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+
+    def _lines(self, words: list[bytes], tokenizer) -> None:
+        """Learns words of letters, 200 in a line.  Each yields one closing token at least; a line
+        with more of them than words (a letter that its small form takes apart) is taken word by word."""
+        for at in range(0, len(words), 20_000):
+            lines = [words[i : i + 200] for i in range(at, min(at + 20_000, len(words)), 200)]
+            for line, found in zip(lines, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, dtype="<u4")
+                ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+                if len(ends) != len(line):
+                    for word, packed in zip(line, self._alone(line), strict=True):
+                        self[word] = packed
+                        if self.closes[np.frombuffer(packed, dtype="<u4")].sum() != 1:
+                            self.loose.add(word)
+                    continue
+                packed, ends = ids.tobytes(), ends.tolist()
+                self.update(zip(line, map(packed.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
     def learn(self, fresh: set[bytes]) -> None:
-        if len(self) + len(fresh) > CACHE_ENTRIES:
-            self.clear()
-        core, odd = {}, []
-        for word in fresh:
-            low = word.lower()
-            if low.isalpha():
-                core[word] = (low, b"")
-            elif low[:-1].isalpha() and low[-1:] in self.marks:
-                core[word] = (low[:-1], self.marks[low[-1:]])
-            else:
-                odd.append(word)
-        needed = {low for low, _ in core.values()}
-        ids = {low: self[low] for low in needed if low in self}
-        ids |= self._plain([low for low in needed if low not in ids])
-        for word, (low, mark) in core.items():
-            self[word] = ids[low] + mark
-        for at in range(0, len(odd), 20_000):
-            part = odd[at : at + 20_000]
-            self.update(zip(part, self._alone([w.decode() for w in part]), strict=True))
+        marks = self.marks
+        marked = [w for w in fresh if w[-1:] in marks and len(w) > 1]
+        cores = fresh.difference(marked).union(w[:-1] for w in marked).difference(self)
+        plain = [w for w in cores if w.isalpha() and w.islower()]
+        rest = [w for w in cores.difference(plain)]
+        letters = [w for w in rest if not w.isascii() and w.decode().isalpha()]
+        self._lines(plain, self.bare)
+        self._lines(letters, self.tokenizer)
+        known = set(letters)
+        odd = [w for w in rest if w not in known]
+        # A mark behind anything but letters may form one piece with it.
+        apart = {*plain, *known}
+        alone = [w for w in odd if w in fresh]
+        alone += [w for w in marked if w[:-1] in self.loose or w[:-1] not in apart and not (w[:-1] in self and w[:-1].decode().isalpha())]
+        for at in range(0, len(alone), 20_000):
+            part = alone[at : at + 20_000]
+            self.update(zip(part, self._alone(part), strict=True))
+        for w in marked:
+            if w not in self:
+                self[w] = self[w[:-1]] + marks[w[-1:]]
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -241,16 +255,29 @@ def word_ids(model: str) -> WordIds:
 
 
 def encode_words(texts: list[bytes], known: WordIds) -> list[bytes]:
-    """Packed ids (little-endian unsigned 32-bit) of each UTF-8 text."""
-    split = [t.split() for t in texts]
-    met = set().union(*split)
-    fresh = met.difference(known)
+    """Packed ids (little-endian unsigned 32-bit) of each UTF-8 text.
+
+    The vocabulary makes letters small.  A-Z may be made small beforehand where no combining mark
+    (U+0300 to U+036F) could have joined with one and no special token could arise.
+    """
+    split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
+    # One lookup a word: words that aren't known yet leave a gap, which is filled once all are learnt.
+    found = [list(map(known.__getitem__, ws)) for ws in split]
+    fresh, known.pending = known.pending, set()
     if len(known) + len(fresh) > CACHE_ENTRIES:
         known.clear()
-        fresh = met
     if fresh:
         known.learn(fresh)
-    return [b"".join(map(known.__getitem__, ws)) for ws in split]
+    for ws, ids in zip(split, found, strict=True):
+        at = -1
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at + 1)
+            ids[at] = known[ws[at]]
+    packed = [b"".join(ids) for ids in found]
+    for word in fresh:
+        if len(word) > LONG_WORD:
+            del known[word]
+    return packed
 
 
 def write_shards(df: DataFrame, tokenizer_file: str, folder: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1) -> DataFrame:
