@@ -42,8 +42,8 @@ def surfaces(points: DataFrame, res: float = 1.0) -> DataFrame:
 
 
 def canopy(dsm: Column, dtm: Column) -> Column:
-    """Height above ground: nothing below zero, and nothing under half a metre."""
-    height = F.greatest(dsm - dtm, F.lit(0.0))
+    """Height above ground: nothing below zero, and nothing under half a metre; null where either surface is."""
+    height = F.when(dsm.isNotNull() & dtm.isNotNull(), F.greatest(dsm - dtm, F.lit(0.0)))
     return F.when(height < CANOPY_FLOOR, 0.0).otherwise(height)
 
 

@@ -108,7 +108,7 @@ def inside(lon: Column, lat: Column, ring: Column) -> Column:
     edges = F.arrays_zip(F.slice(ring, 1, F.size(ring) - 1).alias("a"), F.slice(ring, 2, F.size(ring) - 1).alias("b"))
 
     def crosses(e: Column) -> Column:
-        a, b = e["0"], e["1"]
+        a, b = e["a"], e["b"]
         return ((a["lat"] > lat) != (b["lat"] > lat)) & (lon < (b["lon"] - a["lon"]) * (lat - a["lat"]) / (b["lat"] - a["lat"]) + a["lon"])
 
     return F.size(F.filter(edges, crosses)) % 2 == 1

@@ -2,5 +2,463 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ridgeline.functions import encode, geo, style, text, tiles
+from ridgeline.operators import features, focal, grid, spatial, tiling, trails
+from ridgeline.plans import standins as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _r(c, digits: int = 6):
+    return F.round(c, digits)
+
+
+# Grids
+
+
+@query(f"WITH {S.POINTS} SELECT tile, row, col, round(dtm, 6) AS dtm FROM cells WHERE dtm IS NOT NULL")
+def grid_dtm_mean(spark, d):
+    return grid.surfaces(S.points(spark, d)).where("dtm is not null").select("tile", "row", "col", _r(F.col("dtm")).alias("dtm"))
+
+
+@query(f"WITH {S.POINTS} SELECT tile, row, col, dsm FROM cells")
+def grid_dsm_max(spark, d):
+    return grid.surfaces(S.points(spark, d)).select("tile", "row", "col", "dsm")
+
+
+@query(f"WITH {S.POINTS} SELECT tile, row, col, round(density, 6) AS density, water FROM cells")
+def grid_density(spark, d):
+    return grid.surfaces(S.points(spark, d)).select("tile", "row", "col", _r(F.col("density")).alias("density"), "water")
+
+
+@query(f"WITH {S.POINTS} SELECT tile, row, col, round(CASE WHEN dtm IS NULL THEN NULL WHEN greatest(dsm - dtm, 0) < 0.5 THEN 0 ELSE greatest(dsm - dtm, 0) END, 6)::DOUBLE AS chm FROM cells")
+def grid_chm(spark, d):
+    cells = grid.surfaces(S.points(spark, d))
+    return cells.select("tile", "row", "col", _r(grid.canopy(F.col("dsm"), F.col("dtm"))).alias("chm"))
+
+
+@query(f"WITH {S.POINTS} SELECT tile, cols, rows, count(*)::BIGINT AS cells, count(dtm)::BIGINT AS ground, bool_and(dtm IS NOT NULL) AS whole FROM cells GROUP BY ALL")
+def grid_states(spark, d):
+    cells = grid.surfaces(S.points(spark, d))
+    return cells.groupBy("tile", "cols", "rows").agg(F.count("*").alias("cells"), F.count("dtm").alias("ground"), F.bool_and(F.col("dtm").isNotNull()).alias("whole"))
+
+
+@query(f"WITH {S.POINTS} SELECT tile, (row // 4)::INT AS row, (col // 4)::INT AS col, round(avg(dsm), 4) AS dsm FROM cells GROUP BY ALL")
+def grid_overview(spark, d):
+    return grid.overview(grid.surfaces(S.points(spark, d)), 4, "dsm").withColumn("dsm", _r(F.col("dsm"), 4))
+
+
+@query(f"WITH {S.POINTS} SELECT row, col, max_by(tile, tile) AS tile, max_by(dsm, tile) AS dsm FROM cells GROUP BY ALL")
+def grid_mosaic(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).select("tile", "row", "col", "dsm")
+    return grid.mosaic(*[cells.where(F.col("tile") == t) for t in ("A", "N", "R")]).select("row", "col", "tile", "dsm")
+
+
+_NEAR = "(SELECT unnest([0, 0, 1, 0, -1]) AS dr, unnest([0, 1, 0, -1, 0]) AS dc)"
+
+
+@query(f"""WITH {S.POINTS}, one AS (SELECT DISTINCT tile, rows, cols, row + dr AS row, col + dc AS col FROM cells, {_NEAR} WHERE water AND row + dr BETWEEN 0 AND rows - 1 AND col + dc BETWEEN 0 AND cols - 1)
+SELECT DISTINCT tile, (row + dr)::INT AS row, (col + dc)::INT AS col FROM one, {_NEAR} WHERE row + dr BETWEEN 0 AND rows - 1 AND col + dc BETWEEN 0 AND cols - 1""")
+def water_mask_dilate(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).where("water").select("tile", "rows", "cols", "row", "col")
+    return focal.dilate(cells, 2).select("tile", "row", "col")
+
+
+_OFFSETS = "(SELECT a AS dr, b AS dc FROM range(-1, 2) x(a), range(-1, 2) y(b))"
+
+
+@query(f"""WITH {S.BLOCKS}, near AS (SELECT c.tile, c.row, c.col, c.v AS own, n.v FROM bl c, {_OFFSETS} o
+  JOIN bl n ON n.tile = c.tile AND n.row = least(greatest(c.row + o.dr, 0), 7) AND n.col = least(greatest(c.col + o.dc, 0), 7))
+SELECT tile, row, col, round(coalesce(max(own), avg(v)), 6) AS v FROM near GROUP BY tile, row, col HAVING coalesce(max(own), avg(v)) IS NOT NULL""")
+def focal_fill_once(spark, d):
+    return focal.fill_round(S.block_cells(spark, d), "v").select("tile", "row", "col", _r(F.col("v")).alias("v"))
+
+
+@query()
+def focal_fill_five(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).select("tile", "rows", "cols", "row", "col", "dtm")
+    return focal.fill_gaps(cells, "dtm").select("tile", "row", "col", _r(F.col("dtm"), 3).alias("dtm"))
+
+
+@query(f"""WITH {S.BLOCKS}, pairs AS (SELECT c.tile, c.row, c.col, n.v, row_number() OVER (PARTITION BY c.tile, c.row, c.col ORDER BY (n.row - c.row) ** 2 + (n.col - c.col) ** 2, n.row, n.col) AS k
+  FROM bl c JOIN bl n ON n.tile = c.tile AND n.v IS NOT NULL)
+SELECT tile, row, col, v FROM pairs WHERE k = 1""")
+def nearest_fill(spark, d):
+    filled = focal.map_blocks(S.blocks(spark, d), focal.nearest, "id long, data array<double>", 8, 8)
+    return filled.select(F.col("id").alias("tile"), F.posexplode("data").alias("pos", "v")).selectExpr("tile", "cast(pos div 8 AS int) AS row", "cast(pos % 8 AS int) AS col", "v")
+
+
+@query()
+def lrm_u8(spark, d):
+    made = focal.map_blocks(S.blocks(spark, d), lambda g: focal.relief(g * 10, 1.0, 3.0).astype(int), "id long, data array<int>", 8, 8)
+    return made.select(F.col("id").alias("tile"), F.posexplode("data").alias("pos", "relief"))
+
+
+@query(f"""WITH full_b AS (SELECT vec_id AS tile, (i // 8)::INT AS row, (i % 8)::INT AS col, embedding[i + 1]::DOUBLE AS v FROM embeddings, range(64) r(i)),
+g AS (SELECT tile, row, col,
+  CASE WHEN lag(v) OVER x IS NULL THEN lead(v) OVER x - v WHEN lead(v) OVER x IS NULL THEN v - lag(v) OVER x ELSE (lead(v) OVER x - lag(v) OVER x) / 2 END AS gx,
+  CASE WHEN lag(v) OVER y IS NULL THEN lead(v) OVER y - v WHEN lead(v) OVER y IS NULL THEN v - lag(v) OVER y ELSE (lead(v) OVER y - lag(v) OVER y) / 2 END AS gy
+  FROM full_b WINDOW x AS (PARTITION BY tile, row ORDER BY col), y AS (PARTITION BY tile, col ORDER BY row))
+SELECT tile, row, col, round(gx, 6) AS gx, round(gy, 6) AS gy,
+  round(greatest(least(sin(radians(45)) * cos(atan(sqrt(gx * gx + gy * gy))) + cos(radians(45)) * sin(atan(sqrt(gx * gx + gy * gy))) * cos(radians(135) - atan2(-gx, gy)), 1), 0), 5) AS shade FROM g""")
+def gradient_hillshade(spark, d):
+    cells = S.blocks(spark, d, gaps=False).select("id", F.posexplode("data").alias("pos", "v")).selectExpr("id AS tile", "cast(pos div 8 AS int) AS row", "cast(pos % 8 AS int) AS col", "v")
+    return focal.hillshade(cells, "v").select("tile", "row", "col", _r(F.col("gx")).alias("gx"), _r(F.col("gy")).alias("gy"), _r(F.col("shade"), 5).alias("shade"))
+
+
+# Encodings
+
+
+@query("""SELECT o_orderkey AS id, (c >> 16)::INT AS r, ((c >> 8) & 255)::INT AS g, (c & 255)::INT AS b FROM (
+  SELECT o_orderkey, greatest(least(round_even((((o_totalprice / 100)::FLOAT + 10000::FLOAT)::FLOAT / 0.1::FLOAT)::FLOAT::DOUBLE, 0), 16777215), 0)::BIGINT AS c FROM orders)""")
+def terrain_rgb(spark, d):
+    made = encode.terrain_rgb(F.col("o_totalprice") / 100)
+    return S.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), *[v.alias(k) for k, v in made.items()])
+
+
+@query("""SELECT p_partkey AS id, greatest(least(round_even((((p_size::FLOAT / 35::FLOAT)::FLOAT * 255::FLOAT)::FLOAT)::DOUBLE, 0), 255), 0)::INT AS canopy,
+  greatest(least(round_even(((p_size * 2)::FLOAT * 2.55::FLOAT)::FLOAT::DOUBLE, 0), 255), 0)::INT AS wetness,
+  round_even((greatest(least((p_size - 25) / 10.0::DOUBLE / 3.0::DOUBLE, 1), -1) + 1) * 127.5::DOUBLE, 0)::INT AS relief FROM part""")
+def chm_wet_u8(spark, d):
+    return S.table(spark, d, "part").select(
+        F.col("p_partkey").alias("id"), encode.canopy_byte(F.col("p_size")).alias("canopy"), encode.wetness_byte(F.col("p_size") * 2).alias("wetness"), encode.relief_byte((F.col("p_size") - 25) / 10.0).alias("relief"))
+
+
+# Tiles
+
+_TX = "trunc((lon + 180) / 360 * pow(2, {z}))::INT"
+_TY = "trunc((1 - ln(tan(radians({lat})) + 1 / cos(radians({lat}))) / pi()) / 2 * pow(2, {z}))::INT"
+
+
+@query(f"SELECT id, {_TX.format(z=14)} AS x, {_TY.format(lat='lat', z=14)} AS y, ((1 << 14) - 1 - {_TY.format(lat='lat', z=14)})::INT AS tms FROM {S.place_sql('customer', 'c_custkey')}")
+def tile_of_point(spark, d):
+    z = F.lit(14)
+    y = tiles.lat_to_y(F.col("lat"), z)
+    return S.places(spark, d, "customer", "c_custkey").select("id", tiles.lon_to_x(F.col("lon"), z).alias("x"), y.alias("y"), tiles.tms_row(y, z).cast("int").alias("tms"))
+
+
+_COVER = f"""boxes AS (SELECT id, lon, lat FROM {S.place_sql('supplier', 's_suppkey')}),
+ranges AS (SELECT id, {_TX.format(z=11)} AS x0, trunc((lon + 0.3 + 180) / 360 * pow(2, 11))::INT AS x1, {_TY.format(lat='(lat + 0.2)', z=11)} AS y0, {_TY.format(lat='lat', z=11)} AS y1 FROM boxes),
+covered AS (SELECT id, 11 AS z, x::INT AS x, y::INT AS y FROM ranges, range(x0, x1 + 1) a(x), range(y0, y1 + 1) b(y))"""
+
+
+def _cover(spark, d):
+    boxes = S.places(spark, d, "supplier", "s_suppkey").selectExpr("id", "11 AS z", "lon AS west", "lat AS south", "lon + 0.3D AS east", "lat + 0.2D AS north")
+    return tiles.cover(boxes).select("id", "z", "x", "y")
+
+
+@query(f"WITH {_COVER} SELECT * FROM covered")
+def tile_cover(spark, d):
+    return _cover(spark, d)
+
+
+@query(f"""WITH {_COVER} SELECT id, x, y, round(x * (40075016.6855784 / 2048) - 20037508.3427892, 4) AS west, round(20037508.3427892 - (y + 1) * (40075016.6855784 / 2048), 4) AS south FROM covered""")
+def tile_bounds(spark, d):
+    at = tiles.bounds(F.col("x"), F.col("y"), F.col("z"))
+    return _cover(spark, d).select("id", "x", "y", _r(at["west"], 4).alias("west"), _r(at["south"], 4).alias("south"))
+
+
+@query(f"""WITH {_COVER}, n AS (SELECT DISTINCT z, y, x FROM covered), k AS (SELECT *, ((row_number() OVER (PARTITION BY z, y ORDER BY x) - 1) // 4)::INT AS strip FROM n)
+SELECT z, y, strip, count(*)::INT AS n, min(x) AS first, max(x) AS last FROM k GROUP BY ALL""")
+def strip_chunks(spark, d):
+    made = tiles.strips(_cover(spark, d), 4)
+    return made.select("z", "y", "strip", F.size("columns").alias("n"), F.array_min("columns").alias("first"), F.array_max("columns").alias("last"))
+
+
+@query(f"WITH {_COVER} SELECT DISTINCT x, y FROM covered WHERE NOT ((x + y) % 3 = 0 AND x % 2 = 1)")
+def tiles_todo(spark, d):
+    work = _cover(spark, d).select("x", "y").distinct()
+    done = work.where("(x + y) % 3 = 0").withColumn("size", F.expr("x % 2"))
+    return tiling.remaining(work, done, "x", "y")
+
+
+@query(f"""WITH {_COVER}, s AS (SELECT DISTINCT z, x, y FROM covered) SELECT z, count(*) FILTER ((x + y) % 2 = 0)::BIGINT AS written, count(*) FILTER ((x + y) % 2 = 1)::BIGINT AS present, count(*)::BIGINT AS tiles FROM s GROUP BY ROLLUP (z)""")
+def tile_totals(spark, d):
+    states = _cover(spark, d).select("z", "x", "y").distinct().withColumn("state", F.when((F.col("x") + F.col("y")) % 2 == 0, "written").otherwise("present"))
+    return tiling.totals(states)
+
+
+@query(f"""SELECT max(lon) AS west, max(lat) AS south, min(lon + 6) AS east, min(lat + 3) AS north FROM {S.place_sql('supplier', 's_suppkey')} HAVING max(lon) < min(lon + 6) AND max(lat) < min(lat + 3)""")
+def extent_intersection(spark, d):
+    return tiling.common_extent(S.places(spark, d, "supplier", "s_suppkey").selectExpr("lon AS west", "lat AS south", "lon + 6 AS east", "lat + 3 AS north"))
+
+
+@query("""SELECT z::INT AS z, x::INT AS x, y::INT AS y, e AS empty FROM (SELECT DISTINCT 11 AS z, o_orderkey % 50 AS x, o_custkey % 40 AS y, o_orderkey % 2 = 0 AS e FROM orders)""")
+def tile_paths(spark, d):
+    paths = S.table(spark, d, "orders").selectExpr("concat('/t/11/', o_orderkey % 50, '/', o_custkey % 40, CASE WHEN o_orderkey % 2 = 0 THEN '.empty' ELSE '.png' END) AS path").distinct()
+    return tiling.parsed_paths(paths.union(spark.createDataFrame([("/t/x/1/2.png",), ("/t/a.txt",)], "path string"))).drop("path")
+
+
+@query(f"""WITH {S.BLOCKS}, a AS (SELECT tile AS z, row AS x, col AS y, v * 100 AS v FROM bl WHERE v IS NOT NULL), b AS (SELECT tile AS z, row AS x, col AS y, abs(v) * 100 AS v FROM bl WHERE (row + col) % 3 = 0 AND v IS NOT NULL)
+SELECT coalesce(a.z, b.z) AS z, coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, 0 AS r, 0 AS g,
+  coalesce(greatest(least(round_even((((a.v::FLOAT / 35::FLOAT)::FLOAT * 255::FLOAT)::FLOAT)::DOUBLE, 0), 255), 0)::INT, 0) AS b,
+  coalesce(greatest(least(round_even((b.v::FLOAT * 2.55::FLOAT)::FLOAT::DOUBLE, 0), 255), 0)::INT, 0) AS a
+FROM a FULL JOIN b ON a.z = b.z AND a.x = b.x AND a.y = b.y""")
+def overlay_stack(spark, d):
+    cells = S.block_cells(spark, d).where("v is not null").selectExpr("tile AS z", "row AS x", "col AS y", "0 AS px", "v * 100 AS v")
+    made = encode.overlay_channels(F.col("canopy"), F.col("wetness"))
+    both = tiling.stacked(cells, cells.where("(x + y) % 3 = 0").withColumn("v", F.abs("v")))
+    return both.select("z", "x", "y", *[v.alias(k) for k, v in made.items()])
+
+
+# Features
+
+
+@query(f"WITH {S.ROUTES} SELECT way_id, route_type, route_name, route_relation_id, memberships FROM best")
+def route_priority(spark, d):
+    return features.best_routes(S.relations(spark, d), S.members(spark, d))
+
+
+@query(f"WITH {S.ROUTES} SELECT p_partkey AS way_id, route_type, route_name, route_relation_id FROM part LEFT JOIN best ON p_partkey = way_id")
+def way_route_left(spark, d):
+    return features.with_routes(S.ways(spark, d).select("way_id"), features.best_routes(S.relations(spark, d), S.members(spark, d)))
+
+
+@query(f"""WITH refs AS (SELECT o_orderkey AS way_id, i AS pos, (o_orderkey * 7 + i * 13) % 1700 AS node_id FROM orders, range(5) r(i)),
+n AS (SELECT * FROM {S.place_sql('customer', 'c_custkey')})
+SELECT way_id, count(*)::INT AS n, round(sum(lon * (pos + 1)), 6) AS lon_sum, arg_min(lat, pos) AS first_lat, arg_max(lat, pos) AS last_lat FROM refs JOIN n ON id = node_id GROUP BY way_id HAVING count(*) >= 2""")
+def way_geometry(spark, d):
+    ways = S.table(spark, d, "orders").selectExpr("o_orderkey AS way_id", "transform(sequence(0, 4), i -> (o_orderkey * 7 + i * 13) % 1700) AS refs")
+    nodes = S.places(spark, d, "customer", "c_custkey").withColumnRenamed("id", "node_id")
+    lines = features.way_lines(ways, nodes)
+    # The position of a point among those found differs from its place in refs; weigh by the place.
+    weighed = ways.select("way_id", F.posexplode("refs").alias("pos", "node_id")).join(nodes, "node_id").groupBy("way_id").agg(_r(F.sum(F.col("lon") * (F.col("pos") + 1))).alias("lon_sum"))
+    return lines.join(weighed, "way_id").select("way_id", F.size("geometry").alias("n"), "lon_sum", F.element_at("geometry", 1)["lat"].alias("first_lat"), F.element_at("geometry", -1)["lat"].alias("last_lat"))
+
+
+def _in(column: str, values: list[str]) -> str:
+    return f"\"{column}\" IN ({', '.join(repr(v) for v in values)})"
+
+
+_LAYER = f"""CASE WHEN {_in('highway', features.ROADS)} THEN 'roads' WHEN {_in('highway', features.TRACKS)} THEN 'tracks' WHEN {_in('highway', features.PATHS)} THEN 'paths'
+ WHEN waterway <> '' THEN 'waterways' WHEN {_in('railway', features.RAILS)} THEN 'railways' WHEN power = 'line' THEN 'powerlines' WHEN {_in('natural', features.NATURAL_LINES)} THEN 'natural_lines' END"""
+_IS_LINE = f"(highway <> '' OR waterway <> '' OR railway <> '' OR power = 'line' OR {_in('natural', features.NATURAL_LINES)})"
+
+
+@query(f"WITH {S.WAYS} SELECT way_id, {_LAYER} AS layer FROM ways WHERE {_IS_LINE} AND {_LAYER} IS NOT NULL")
+def layer_cascade(spark, d):
+    ways = S.ways(spark, d).where(features.is_line(F.col("tags")))
+    return ways.select("way_id", features.line_layer(F.col("tags")).alias("layer")).where("layer is not null")
+
+
+@query(f"WITH {S.WAYS} SELECT way_id, CASE WHEN {_in('natural', features.PEAKS)} THEN 'peaks' ELSE 'places' END AS layer FROM ways WHERE {_in('natural', features.PEAKS)} OR {_in('place', features.PLACES)}")
+def point_layers(spark, d):
+    return S.ways(spark, d).select("way_id", features.point_layer(F.col("tags")).alias("layer")).where("layer is not null")
+
+
+@query(f"""WITH {S.WAYS} SELECT way_id, 'water' AS layer FROM ways WHERE {_in('natural', features.WATER_NATURAL)} OR {_in('landuse', features.WATER_LANDUSE)}
+UNION ALL SELECT way_id, 'landuse' FROM ways WHERE {_in('landuse', features.LANDUSE)} OR {_in('natural', features.LANDCOVER)} UNION ALL SELECT way_id, 'buildings' FROM ways WHERE building <> ''""")
+def layer_multilabel(spark, d):
+    tags = F.col("tags")
+    return S.ways(spark, d).select("way_id", F.explode(features.polygon_layers(features.tag(tags, "natural"), features.tag(tags, "landuse"), features.tag(tags, "building"))).alias("layer"))
+
+
+@query(f"WITH {S.WAYS} SELECT {_LAYER} AS layer, count(*)::BIGINT AS n FROM ways WHERE {_LAYER} IS NOT NULL GROUP BY ROLLUP (1)")
+def layer_rollup(spark, d):
+    layered = S.ways(spark, d).select(features.line_layer(F.col("tags")).alias("layer")).where("layer is not null")
+    return layered.rollup("layer").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {S.WAYS} SELECT highway, waterway FROM ways WHERE {_in('highway', features.KEPT_HIGHWAYS)} OR {_in('waterway', features.KEPT_WATERWAYS)}")
+def export_filter(spark, d):
+    tags = F.col("tags")
+    return features.kept_rows(S.ways(spark, d).select(*[features.tag(tags, k).alias(k) for k in ("highway", "waterway", "power")]))
+
+
+@query("""WITH e AS (SELECT p_partkey AS id, i AS pos, CASE (p_partkey + i) % 4 WHEN 0 THEN 'A:b' WHEN 1 THEN 'a-b' WHEN 2 THEN 'A B' ELSE 'c' END AS key FROM part, range(4) r(i)),
+k AS (SELECT *, lower(translate(key, ':- ', '___')) AS n, row_number() OVER (PARTITION BY id, lower(translate(key, ':- ', '___')) ORDER BY pos) - 1 AS nth FROM e)
+SELECT id, pos::INT AS pos, key, CASE WHEN nth = 0 THEN n ELSE n || '_' || nth END AS plain FROM k""")
+def tag_sanitize(spark, d):
+    entries = S.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("pos"))
+    keyed = entries.withColumn("key", F.expr("CASE (id + pos) % 4 WHEN 0 THEN 'A:b' WHEN 1 THEN 'a-b' WHEN 2 THEN 'A B' ELSE 'c' END"))
+    return features.plain_keys(keyed, "id", "pos", "key")
+
+
+@query("SELECT p_type AS value, count(*)::BIGINT AS n FROM part WHERE p_type IS NOT NULL GROUP BY 1")
+def tag_value_counts(spark, d):
+    return features.value_counts(S.table(spark, d, "part").select(F.col("p_type").alias("value")), "value")
+
+
+@query(f"""SELECT id FROM {S.place_sql('customer', 'c_custkey')} WHERE lon BETWEEN 13 AND 15.5 AND lat BETWEEN 60 AND 61.25""")
+def bbox_filter(spark, d):
+    return S.places(spark, d, "customer", "c_custkey").where(features.in_box(F.col("lon"), F.col("lat"), (13.0, 60.0, 15.5, 61.25))).select("id")
+
+
+@query()
+def geojson_feature(spark, d):
+    line = F.array(F.struct("lon", "lat"), F.struct((F.col("lon") + 0.01).alias("lon"), F.col("lat")))
+    props = F.create_map(F.lit("name"), F.concat(F.lit("s"), F.col("id")), F.lit("none"), F.lit(None).cast("string"))
+    return S.places(spark, d, "supplier", "s_suppkey").select("id", geo.feature_json(line, props).alias("feature"))
+
+
+# Trails
+
+
+@query("SELECT user_id AS trail_id, event_id AS id, event_type AS entry_type, props AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def latest_status(spark, d):
+    return trails.latest(S.history(spark, d), "trail_id").select("trail_id", "id", "entry_type", "value")
+
+
+@query("SELECT c_custkey AS trail_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey AND event_type = 'error')")
+def trails_without_status(spark, d):
+    entries = S.history(spark, d).withColumn("entry_type", F.when(F.col("entry_type") == "error", "status").otherwise(F.col("entry_type")))
+    return trails.without_status(S.table(spark, d, "customer").select(F.col("c_custkey").alias("trail_id")), entries)
+
+
+@query("SELECT event_id AS id FROM events WHERE (event_type = 'click' AND event_id % 5 = 2) OR (event_type = 'view' AND event_id % 5 <> 2)")
+def check_value_shapes(spark, d):
+    kind = F.when(F.col("entry_type") == "click", "status").when(F.col("entry_type") == "view", "comment").otherwise("other")
+    value = F.expr("""CASE id % 5 WHEN 0 THEN '{"status":"clear"}' WHEN 1 THEN '{"status":"overgrown"}' WHEN 2 THEN '{"status":"x","text":"t"}' ELSE '{}' END""")
+    rows = S.history(spark, d).select("id", kind.alias("kind"), value.alias("value"))
+    return trails.violations(rows, trails.value_rule(F.col("kind"), F.col("value"))).select("id")
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*)::BIGINT AS n FROM lineitem WHERE l_linenumber <> 3 GROUP BY ALL HAVING count(*) > 1")
+def unique_nulls_distinct(spark, d):
+    rows = S.table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_linenumber") != 3, F.col("l_linenumber")).alias("l_linenumber"))
+    return trails.repeated_keys(rows, "l_orderkey", "l_linenumber")
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'F' OR (o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0))")
+def check_osm_reference(spark, d):
+    rows = S.table(spark, d, "orders").selectExpr("o_orderkey", "o_orderstatus = 'F' AS is_draft", "CASE WHEN o_orderkey % 3 <> 0 THEN 'way' END AS osm_type", "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS osm_id")
+    return trails.violations(rows, trails.osm_reference_rule()).select("o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)")
+def foreign_key_orphans(spark, d):
+    return trails.orphans(S.table(spark, d, "orders"), S.table(spark, d, "customer").where("c_custkey % 7 <> 0"), "o_custkey", "c_custkey").select("o_orderkey")
+
+
+@query("SELECT event_id FROM events WHERE user_id % 4 <> 0")
+def cascade_delete(spark, d):
+    gone = S.table(spark, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("user_id"))
+    events = S.table(spark, d, "events")
+    return trails.cascade(events, gone.union(events.where("user_id % 4 = 0").select("user_id")).distinct(), "user_id").select("event_id")
+
+
+@query("""SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'new2' ELSE 'old' END AS v FROM part""")
+def upsert_last_wins(spark, d):
+    old = S.table(spark, d, "part").selectExpr("p_partkey AS k", "'old' AS v", "0 AS version")
+    new = old.where("k % 3 = 0").selectExpr("k", "explode(array('new1', 'new2')) AS v").withColumn("version", F.expr("cast(substr(v, 4) AS int)"))
+    return trails.upsert(old, new, "k").select("k", "v")
+
+
+@query("""SELECT p_partkey AS k, 'old' AS v FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'new' FROM part WHERE p_partkey % 2 = 1""")
+def insert_if_absent(spark, d):
+    new = S.table(spark, d, "part").selectExpr("p_partkey AS k", "'new' AS v")
+    return trails.insert_absent(new.where("k % 2 = 0").withColumn("v", F.lit("old")), new, "k")
+
+
+@query("SELECT user_id AS trail_id, event_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)::INT AS nth FROM events")
+def history_recent_first(spark, d):
+    return trails.recent_first(S.history(spark, d), "trail_id").select("trail_id", "id", "nth")
+
+
+# Places
+
+_HAVERSINE = "2 * 6371008.8 * asin(sqrt(least(pow(sin(radians(k.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(k.lat)) * pow(sin(radians(k.lon - p.lon) / 2), 2), 1)))"
+
+
+@query(f"""SELECT p.id AS probe_id, k.id AS known_id, round({_HAVERSINE}, 3) AS metres FROM {S.place_sql('customer', 'c_custkey')} p, {S.place_sql('supplier', 's_suppkey')} k
+WHERE {_HAVERSINE} <= 15000 QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY {_HAVERSINE}, k.id) = 1""")
+def nearest_within(spark, d):
+    probes = S.places(spark, d, "customer", "c_custkey").withColumnRenamed("id", "probe_id")
+    known = S.places(spark, d, "supplier", "s_suppkey").withColumnRenamed("id", "known_id")
+    return spatial.nearest_within(probes, known, 15_000.0).withColumn("metres", _r(F.col("metres"), 3))
+
+
+@query(f"""WITH {S.POINTS}, p AS (SELECT c_custkey AS id, c_custkey % 120 + 0.5 AS x, (c_custkey * 7) % 100 + 0.5 AS y, CASE WHEN c_custkey % 4 = 0 THEN '777' END AS ele FROM customer),
+c AS (SELECT row, col, dsm FROM cells WHERE tile = 'N')
+SELECT p.id, coalesce(p.ele, round_even(c.dsm, 0)::BIGINT::VARCHAR) AS ele FROM p LEFT JOIN c ON c.col = floor(p.x)::INT AND c.row = floor(100 - p.y)::INT""")
+def peak_elevation(spark, d):
+    peaks = S.table(spark, d, "customer").selectExpr("c_custkey AS id", "c_custkey % 120 + 0.5D AS x", "(c_custkey * 7) % 100 + 0.5D AS y", "CASE WHEN c_custkey % 4 = 0 THEN '777' ELSE '' END AS ele")
+    cells = grid.surfaces(S.points(spark, d)).where("tile = 'N'").selectExpr("row", "col", "dsm AS v")
+    return spatial.fill_elevation(peaks, cells, 0.0, 100.0, 1.0).select("id", "ele")
+
+
+@query()
+def bilinear_warp(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).where("tile = 'N'").selectExpr("row", "col", "dsm AS v")
+    targets = S.table(spark, d, "customer").selectExpr("c_custkey AS id", "(c_custkey * 31) % 1000 / 10.0D AS x", "(c_custkey * 17) % 1000 / 10.0D AS y")
+    return spatial.bilinear(targets, cells, 0.0, 100.0, 1.0).select("id", _r(F.col("v"), 3).alias("v"))
+
+
+@query()
+def find_or_create_places(spark, d):
+    points = S.places(spark, d, "customer", "c_custkey").withColumn("created_at", F.col("id"))
+    return spatial.find_or_create(points, 400.0)
+
+
+@query()
+def crs_round_trip(spark, d):
+    placed = S.places(spark, d, "customer", "c_custkey")
+    east, north = geo.to_grid(F.col("lon"), F.col("lat"))
+    lon, lat = geo.to_degrees(F.col("east"), F.col("north"))
+    moved = placed.withColumns({"east": east, "north": north})
+    return moved.select("id", _r(F.col("east"), 3).alias("east"), _r(F.col("north"), 3).alias("north"), (_r(lon - F.col("lon"), 8) + 0.0).alias("dlon"), (_r(lat - F.col("lat"), 8) + 0.0).alias("dlat"))
+
+
+@query("""SELECT c_custkey AS id, 20 + (c_custkey % 5) BETWEEN 20 AND 23 AND (c_custkey % 7) BETWEEN 0 AND 4 AS inside FROM customer""")
+def inside_ring(spark, d):
+    ring = F.array(*[F.struct(F.lit(a).alias("lon"), F.lit(b).alias("lat")) for a, b in ((19.5, -0.5), (23.5, -0.5), (23.5, 4.5), (19.5, 4.5), (19.5, -0.5))])
+    return S.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), spatial.inside(20.0 + F.col("c_custkey") % 5, (F.col("c_custkey") % 7).cast("double"), ring).alias("inside"))
+
+
+# Styles and text
+
+
+def _slope_sql(k: int) -> str:
+    stops = style.SLOPE_STOPS
+    steps = " ".join(f"WHEN s <= {d1!r}::DOUBLE THEN {c0[k]} + {c1[k] - c0[k]} * (s - {d0!r}::DOUBLE) / ({d1!r}::DOUBLE - {d0!r}::DOUBLE)" for (d0, c0), (d1, c1) in zip(stops, stops[1:], strict=False))
+    return f"round_even(CASE WHEN s <= 0 THEN {stops[0][1][k]} {steps} ELSE {stops[-1][1][k]} END, 0)::INT"
+
+
+@query(f"SELECT id, {_slope_sql(0)} AS r, {_slope_sql(1)} AS g, {_slope_sql(2)} AS b FROM (SELECT p_partkey AS id, (p_partkey % 600 / 10.0::DOUBLE)::DOUBLE AS s FROM part)")
+def slope_color(spark, d):
+    made = style.slope_colour(F.col("s"))
+    return S.table(spark, d, "part").selectExpr("p_partkey AS id", "p_partkey % 600 / 10.0D AS s").select("id", *[v.alias(k) for k, v in made.items()])
+
+
+_STATES = ["clear", "overgrown", "partially_blocked", "fully_blocked", "other"]
+
+
+@query("SELECT event_id AS id, ['#4caf50', '#e0b400', '#e0791e', '#d43d3d', NULL][event_id % 5 + 1] AS colour FROM events")
+def status_color(spark, d):
+    state = F.element_at(F.array(*[F.lit(s) for s in _STATES]), (F.col("event_id") % 5 + 1).cast("int"))
+    return S.table(spark, d, "events").select(F.col("event_id").alias("id"), style.lookup(state, style.STATUS).alias("colour"))
+
+
+@query(f"WITH {S.WAYS} SELECT way_id, CASE WHEN landuse IN ('forest') THEN '#2d4a2d' ELSE '#333' END AS colour FROM ways")
+def landuse_color(spark, d):
+    return S.ways(spark, d).select("way_id", style.lookup(features.tag(F.col("tags"), "landuse"), style.LANDUSE, "#333").alias("colour"))
+
+
+@query("SELECT p_partkey AS id, round_even(168 + (27 - 168) * (p_size / 50.0::DOUBLE), 0)::INT AS r, round_even(138 + (79 - 138) * (p_size / 50.0::DOUBLE), 0)::INT AS g, round_even(91 + (114 - 91) * (p_size / 50.0::DOUBLE), 0)::INT AS b FROM part")
+def wetness_ramp(spark, d):
+    made = style.ramp(F.col("p_size") / 50.0, "wetness")
+    return S.table(spark, d, "part").select(F.col("p_partkey").alias("id"), *[v.alias(k) for k, v in made.items()])
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN s >= 3600 THEN printf('%dh %02dm %02ds', s // 3600, s % 3600 // 60, s % 60) WHEN s >= 60 THEN printf('%dm %02ds', s // 60, s % 60) ELSE printf('%ds', s) END AS took
+FROM (SELECT p_partkey, p_partkey * 7 % 9000 AS s FROM part)""")
+def duration_text(spark, d):
+    return S.table(spark, d, "part").select(F.col("p_partkey").alias("id"), text.duration(F.col("p_partkey") * 7 % 9000).alias("took"))
