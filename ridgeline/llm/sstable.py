@@ -46,7 +46,7 @@ INDEX = struct.Struct("<9sQIIQ")
 FOOTER = struct.Struct("<6QI4x8s")
 BITS_A_KEY, PROBES = 10, 7
 #: Entries that a task's dictionary of words may hold before it is emptied.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_200_000
 #: Words of more bytes aren't kept in it.
 LONG_WORD = 64
 
