@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from array import array
+from unicodedata import is_normalized
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridgeline.llm.bpe import byte_letters
 from ridgeline.llm.common import delete_at_exit, materialize, only, shared_dir
 
 MAGIC = b"RLSSTAB1"
@@ -49,6 +51,7 @@ BITS_A_KEY, PROBES = 10, 7
 CACHE_ENTRIES = 1_200_000
 #: Words of more bytes aren't kept in it.
 LONG_WORD = 64
+BYTE_LETTERS = {b: letter for letter, b in byte_letters().items() if b != 0x20}
 
 
 def key_of(identifier: int | None) -> bytes:
@@ -174,7 +177,8 @@ class WordIds(dict):
     The vocabulary's normaliser and splitter treat blanks as borders that no token and no
     composed character crosses, so a text's ids are its words' ids in a row.  Likewise letters
     and the comma or full stop behind them are encoded apart.  Words of letters alone are encoded
-    many in a call; small ASCII letters pass the normaliser unchanged, so they go round it.
+    many in a call; small composed letters pass the normaliser unchanged, so they go round it, in
+    the letters that stand for their bytes in the vocabulary.
     """
 
     def __init__(self, tokenizer):
@@ -188,11 +192,19 @@ class WordIds(dict):
         self.closes = np.zeros(max(names.values()) + 1, dtype=bool)
         self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.pending: set[bytes] = set()
+        self.gaps: list[int] = []
+        self.left = iter(())
         self.loose: set[bytes] = set()  # the rare words of letters whose small form isn't letters alone
         self.marks = {m: self._alone([m])[0] for m in (b",", b".")}
 
     def __missing__(self, word: bytes) -> None:
         self.pending.add(word)
+        self.gaps.append(self.left.__length_hint__() + 1)
+
+    def look_up(self, words: list[bytes]) -> tuple[list[bytes | None], list[int]]:
+        """What is known of each word, and the places (from the end) of words that aren't yet."""
+        self.gaps, self.left = [], iter(words)
+        return list(map(self.__getitem__, self.left)), self.gaps
 
     def _alone(self, words: list[bytes]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
@@ -200,9 +212,10 @@ class WordIds(dict):
     def _lines(self, words: list[bytes], tokenizer) -> None:
         """Learns words of letters, 200 in a line.  Each yields one closing token at least; a line
         with more of them than words (a letter that its small form takes apart) is taken word by word."""
+        write = (lambda line: line.decode("latin-1").translate(BYTE_LETTERS)) if tokenizer is self.bare else bytes.decode
         for at in range(0, len(words), 20_000):
             lines = [words[i : i + 200] for i in range(at, min(at + 20_000, len(words)), 200)]
-            for line, found in zip(lines, tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False), strict=True):
+            for line, found in zip(lines, tokenizer.encode_batch_fast([write(b" ".join(x)) for x in lines], add_special_tokens=False), strict=True):
                 ids = np.array(found.ids, dtype="<u4")
                 ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
                 if len(ends) != len(line):
@@ -222,8 +235,10 @@ class WordIds(dict):
         rest = [w for w in cores.difference(plain)]
         letters = [w for w in rest if not w.isascii() and w.decode().isalpha()]
         self._lines(plain, self.bare)
-        self._lines(letters, self.tokenizer)
         known = set(letters)
+        small = [w for w in letters if (s := w.decode()) == s.lower() and is_normalized("NFC", s)]
+        self._lines(small, self.bare)
+        self._lines(list(known.difference(small)), self.tokenizer)
         odd = [w for w in rest if w not in known]
         # A mark behind anything but letters may form one piece with it.
         apart = {*plain, *known}
@@ -262,18 +277,16 @@ def encode_words(texts: list[bytes], known: WordIds) -> list[bytes]:
     """
     split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
     # One lookup a word: words that aren't known yet leave a gap, which is filled once all are learnt.
-    found = [list(map(known.__getitem__, ws)) for ws in split]
+    found = [known.look_up(ws) for ws in split]
     fresh, known.pending = known.pending, set()
     if len(known) + len(fresh) > CACHE_ENTRIES:
         known.clear()
     if fresh:
         known.learn(fresh)
-    for ws, ids in zip(split, found, strict=True):
-        at = -1
-        for _ in range(ids.count(None)):
-            at = ids.index(None, at + 1)
-            ids[at] = known[ws[at]]
-    packed = [b"".join(ids) for ids in found]
+    for ws, (ids, gaps) in zip(split, found, strict=True):
+        for at in gaps:
+            ids[-at] = known[ws[-at]]
+    packed = [b"".join(ids) for ids, _ in found]
     for word in fresh:
         if len(word) > LONG_WORD:
             del known[word]
