@@ -131,16 +131,16 @@ def mixed_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """The mix itself: each document once for every whole epoch it is taken, and once more with
     the first words of what is left; columns as in df, ``count_col`` counted again."""
     taken = mix(df, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    keys = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark")).agg(F.collect_list(F.struct("size", "taken")).alias("_takes"))
+    keys = taken.groupBy(F.col("doc_id").alias("__rl_id"), F.col("source").alias("__rl_source"), F.col("mark").alias("__rl_mark")).agg(F.collect_list(F.struct("size", "taken")).alias("__rl_takes"))
     names = df.columns
-    own = df.withColumns({"_i": F.col(id_col), "_s": F.col(source_col).cast("string"), "_m": F.xxhash64(text_col)}).dropDuplicates(["_i", "_s", "_m"])
-    joined = own.join(keys, own["_i"].eqNullSafe(keys["_id"]) & own["_s"].eqNullSafe(keys["_source"]) & (own["_m"] == keys["_mark"]))
-    each = joined.withColumn("_take", F.explode("_takes")).where("_take.taken > 0")
-    whole = F.expr("cast(_take.taken div _take.size as int)")
-    rest = (F.col("_take.taken") % F.col("_take.size")).cast("int")
+    own = df.withColumns({"__rl_i": F.col(id_col), "__rl_s": F.col(source_col).cast("string"), "__rl_m": F.xxhash64(text_col)}).dropDuplicates(["__rl_i", "__rl_s", "__rl_m"])
+    joined = own.join(keys, own["__rl_i"].eqNullSafe(keys["__rl_id"]) & own["__rl_s"].eqNullSafe(keys["__rl_source"]) & (own["__rl_m"] == keys["__rl_mark"]))
+    each = joined.withColumn("__rl_take", F.explode("__rl_takes")).where("__rl_take.taken > 0")
+    whole = F.expr("cast(__rl_take.taken div __rl_take.size as int)")
+    rest = (F.col("__rl_take.taken") % F.col("__rl_take.size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    rows = each.withColumn("_cut", F.explode(copies))
-    text = F.when(F.col("_cut") < 0, F.col(text_col)).otherwise(F.array_join(F.slice(words(F.col(text_col)), 1, F.greatest("_cut", F.lit(0))), " "))
+    rows = each.withColumn("__rl_cut", F.explode(copies))
+    text = F.when(F.col("__rl_cut") < 0, F.col(text_col)).otherwise(F.array_join(F.slice(words(F.col(text_col)), 1, F.greatest("__rl_cut", F.lit(0))), " "))
     rows = rows.withColumn(text_col, text)
     if count_col in names:
         rows = rows.withColumn(count_col, F.length(text_col).cast(df.schema[count_col].dataType))

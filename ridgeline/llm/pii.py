@@ -29,7 +29,7 @@ PATTERNS = {
 }
 #: A text without these can't hold the kind; cheap to test.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": "+"}
-OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}+"
 #: Code points on each side of an entity that count as near; letters of a term at least.
 NEAR, MIN_LETTERS = 64, 3
@@ -146,10 +146,10 @@ def locate(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = materialize(findings(df, id_col=id_col, text_col=text_col))
     flagged = disclosing(found, df, text_col)
-    near = found.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.explode("near").alias("x")).select("_id", "_mark", "x.*")
-    hits = near.join(flagged, ["entity", "term"]).groupBy("_id", "_mark", "start", "end").agg(F.max("remove").alias("remove"))
-    terms = hits.groupBy("_id", "_mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
-    joined = found.join(terms, found["doc_id"].eqNullSafe(terms["_id"]) & (found["mark"] == terms["_mark"]), "left")
+    near = found.select(F.col("doc_id").alias("__rl_id"), F.col("mark").alias("__rl_mark"), F.explode("near").alias("x")).select("__rl_id", "__rl_mark", "x.*")
+    hits = near.join(flagged, ["entity", "term"]).groupBy("__rl_id", "__rl_mark", "start", "end").agg(F.max("remove").alias("remove"))
+    terms = hits.groupBy("__rl_id", "__rl_mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
+    joined = found.join(terms, found["doc_id"].eqNullSafe(terms["__rl_id"]) & (found["mark"] == terms["__rl_mark"]), "left")
     return joined.select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:int,remove:boolean>>")).alias("terms"))
 
 
@@ -178,14 +178,14 @@ def sanitize(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.get(marks, s["kind"]).alias("by"))),
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.when(s["remove"], "").otherwise(F.get(marks, s["kind"])).alias("by"))),
     ))
-    changes = found.where("size(spans) + size(terms) > 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), cover.alias("_cover")).dropDuplicates(["_id", "_mark"])
-    joined = df.join(changes, df[id_col].eqNullSafe(changes["_id"]) & (F.xxhash64(df[text_col]) == changes["_mark"]), "left")
+    changes = found.where("size(spans) + size(terms) > 0").select(F.col("doc_id").alias("__rl_id"), F.col("mark").alias("__rl_mark"), cover.alias("__rl_cover")).dropDuplicates(["__rl_id", "__rl_mark"])
+    joined = df.join(changes, df[id_col].eqNullSafe(changes["__rl_id"]) & (F.xxhash64(df[text_col]) == changes["__rl_mark"]), "left")
     text = F.col(text_col)
     step = lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(
         F.struct(s["end"].alias("at"), F.array_append(F.array_append(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"])), s["by"]).alias("out")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.aggregate("_cover", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    result = joined.withColumn(text_col, F.when(F.col("_cover").isNotNull(), clean).otherwise(text))
+    clean = F.aggregate("__rl_cover", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    result = joined.withColumn(text_col, F.when(F.col("__rl_cover").isNotNull(), clean).otherwise(text))
     if count_col in df.columns:
-        result = result.withColumn(count_col, F.when(F.col("_cover").isNotNull(), F.length(text_col).cast(df.schema[count_col].dataType)).otherwise(F.col(count_col)))
+        result = result.withColumn(count_col, F.when(F.col("__rl_cover").isNotNull(), F.length(text_col).cast(df.schema[count_col].dataType)).otherwise(F.col(count_col)))
     return result.select(*df.columns)
