@@ -8,8 +8,9 @@ by adding counts, so the sketch of a language is the sum over its sources, and c
 combined before any shuffle, whatever the size of a source.  A group with fewer than
 ``MIN_DOCS`` texts takes the thresholds of its language, a small language those of all texts.
 
-A ratio is too high beyond  q95 + SPREAD * (q95 - q50) + margin  and word length too low below
-q05 - SPREAD * (q50 - q05) - margin; the margins keep ratios that hardly vary from rejecting
+A ratio is too high beyond  q75 + SPREAD * (q75 - q50) + margin  and word length too low below
+q25 - SPREAD * (q50 - q25) - margin.  Quartiles hold even where a quarter of a group is junk; the
+margins keep ratios that hardly vary from rejecting
 the first text that differs.
 """
 
@@ -25,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Adaptive rules: ratios are in thousandths; margin in thousandths by ratio.
 MIN_DOCS, SPREAD = 100, 3
-MARGINS = {"symbols": 50, "dup_lines": 100, "word_length": 500}
+MARGINS = {"symbols": 100, "dup_lines": 400, "word_length": 1000}
 
 
 def repeated_words(df: DataFrame, words_col: str, out: str) -> DataFrame:
@@ -103,10 +104,10 @@ def thresholds(sketch: DataFrame, *keys: str) -> DataFrame:
     group = Window.partitionBy(*keys, "ratio")
     ranked = sketch.withColumn("up", F.sum("n").over(group.orderBy("cell"))).withColumn("docs", F.sum("n").over(group))
     quantile = lambda percent: F.min(F.when(100 * F.col("up") >= percent * F.col("docs"), F.col("cell")))
-    found = ranked.groupBy(*keys, "ratio").agg(F.max("docs").alias("docs"), quantile(5).alias("q05"), quantile(50).alias("q50"), quantile(95).alias("q95"))
+    found = ranked.groupBy(*keys, "ratio").agg(F.max("docs").alias("docs"), quantile(25).alias("q25"), quantile(50).alias("q50"), quantile(75).alias("q75"))
     margin = F.coalesce(*[F.when(F.col("ratio") == k, m) for k, m in MARGINS.items()])
-    high = F.col("q95") + SPREAD * (F.col("q95") - F.col("q50")) + margin
-    low = F.when(F.col("ratio") == "word_length", F.col("q05") - SPREAD * (F.col("q50") - F.col("q05")) - margin)
+    high = F.col("q75") + SPREAD * (F.col("q75") - F.col("q50")) + margin
+    low = F.when(F.col("ratio") == "word_length", F.col("q25") - SPREAD * (F.col("q50") - F.col("q25")) - margin)
     return found.select(*keys, "ratio", "docs", low.alias("low"), high.alias("high"))
 
 
@@ -177,9 +178,9 @@ m AS (
     coalesce(r.n, 0)::BIGINT AS n_repeat_words FROM counted c LEFT JOIN covered r USING (rid)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
 vals AS (
-  SELECT rid, lang, source, base_failed, 'symbols' AS ratio, 50 AS margin, 1000 * n_symbols // n_words AS v FROM f WHERE n_words > 0
-  UNION ALL SELECT rid, lang, source, base_failed, 'dup_lines', 100, 1000 * n_dup_lines // n_lines FROM f WHERE n_lines > 0
-  UNION ALL SELECT rid, lang, source, base_failed, 'word_length', 500, 1000 * word_chars // n_words FROM f WHERE n_words > 0),
+  SELECT rid, lang, source, base_failed, 'symbols' AS ratio, 100 AS margin, 1000 * n_symbols // n_words AS v FROM f WHERE n_words > 0
+  UNION ALL SELECT rid, lang, source, base_failed, 'dup_lines', 400, 1000 * n_dup_lines // n_lines FROM f WHERE n_lines > 0
+  UNION ALL SELECT rid, lang, source, base_failed, 'word_length', 1000, 1000 * word_chars // n_words FROM f WHERE n_words > 0),
 cells AS (
   SELECT *, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS cell FROM vals WHERE NOT base_failed),
 levels AS (
@@ -191,11 +192,11 @@ up AS (
   SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, ratio ORDER BY cell) AS up,
     sum(n) OVER (PARTITION BY lvl, lang, source, ratio) AS docs FROM sk),
 q AS (
-  SELECT lvl, lang, source, ratio, margin, max(docs) AS docs, min(cell) FILTER (100 * up >= 5 * docs) AS q05,
-    min(cell) FILTER (100 * up >= 50 * docs) AS q50, min(cell) FILTER (100 * up >= 95 * docs) AS q95 FROM up GROUP BY ALL),
+  SELECT lvl, lang, source, ratio, margin, max(docs) AS docs, min(cell) FILTER (100 * up >= 25 * docs) AS q25,
+    min(cell) FILTER (100 * up >= 50 * docs) AS q50, min(cell) FILTER (100 * up >= 75 * docs) AS q75 FROM up GROUP BY ALL),
 lim AS (
-  SELECT *, q95 + 3 * (q95 - q50) + margin AS high,
-    CASE WHEN ratio = 'word_length' THEN q05 - 3 * (q50 - q05) - margin END AS low FROM q),
+  SELECT *, q75 + 3 * (q75 - q50) + margin AS high,
+    CASE WHEN ratio = 'word_length' THEN q25 - 3 * (q50 - q25) - margin END AS low FROM q),
 size AS (SELECT lvl, lang, source, max(docs) AS docs FROM lim GROUP BY ALL),
 pick AS (
   SELECT v.rid, v.v, v.ratio, v.lang, v.source, CASE WHEN a.docs >= 100 THEN 'a' WHEN b.docs >= 100 THEN 'b' ELSE 'c' END AS lvl
