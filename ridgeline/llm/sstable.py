@@ -22,6 +22,7 @@ scans that one block.
 from __future__ import annotations
 
 import bisect
+import gc
 import hashlib
 import struct
 import uuid
@@ -51,6 +52,8 @@ BITS_A_KEY, PROBES = 10, 7
 CACHE_ENTRIES = 1_200_000
 #: Words of more bytes aren't kept in it.
 LONG_WORD = 64
+#: Bytes of text that are encoded together.
+PORTION = 4 << 20
 BYTE_LETTERS = {b: letter for letter, b in byte_letters().items() if b != 0x20}
 
 
@@ -293,6 +296,20 @@ def encode_words(texts: list[bytes], known: WordIds) -> list[bytes]:
     return packed
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts in runs of about PORTION bytes of text, whatever the texts' lengths."""
+    for batch in batches:
+        names, texts, size = [], [], 0
+        for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            names.append(name)
+            texts.append(bytes(text.as_buffer()) if text.is_valid else b"")
+            size += len(texts[-1])
+            if size >= PORTION:
+                yield names, texts
+                names, texts, size = [], [], 0
+        yield names, texts
+
+
 def write_shards(df: DataFrame, tokenizer_file: str, folder: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1) -> DataFrame:
     """Encodes every text, appends ``end_id``, and writes shards in ascending id order.
 
@@ -335,10 +352,10 @@ def write_shards(df: DataFrame, tokenizer_file: str, folder: str | None = None,
             store.move(f"{root}/_attempt-{attempt}", name)
             made.append((name, part, len(made), writer.docs, writer.ids))
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                for i, ids in zip(piece.column(0).to_pylist(), encode_words([bytes(t.as_buffer()) if t.is_valid else b"" for t in piece.column(1)], known), strict=True):
+        gc.disable()  # millions of words come and go and none is part of a cycle
+        try:
+            for names, texts in _portions(batches):
+                for i, ids in zip(names, encode_words(texts, known), strict=True):
                     if writer is None:
                         stream = store.open_output_stream(f"{root}/_attempt-{attempt}")
                         writer = ShardWriter(stream, width)
@@ -346,6 +363,8 @@ def write_shards(df: DataFrame, tokenizer_file: str, folder: str | None = None,
                     if writer.at >= SHARD_BYTES:
                         finish()
                         writer = None
+        finally:
+            gc.enable()
         if writer is not None:
             finish()
         columns = list(zip(*made, strict=True)) or [[]] * 5
