@@ -389,3 +389,29 @@ def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", *
     """The rows of df that are kept, with all their columns."""
     gone = near_duplicates(df, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
     return df.join(gone, df[id_col].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(df[text_col]) == gone["_mark"]), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [md5(array_to_string(w, ' '))]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: md5(w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END)) AS s FROM base),
+classes AS (SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT id, n, unnest(s) AS h FROM classes),
+spread AS (SELECT h, count(*) AS docs FROM items GROUP BY h HAVING count(*) > 1),
+ranked AS (
+  SELECT id, n, h, row_number() OVER (PARTITION BY id ORDER BY coalesce(docs, 1), h) AS rk FROM items LEFT JOIN spread USING (h)),
+heads AS (SELECT id, n, h FROM ranked WHERE 100 * (n - rk + 1) >= 85 * n),
+pairs AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM heads a JOIN heads b ON a.h = b.h AND a.id < b.id
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)),
+met AS (
+  SELECT p.a, p.b, len(list_intersect(x.s, y.s)) AS shared, x.n + y.n AS total FROM pairs p JOIN classes x ON x.id = p.a JOIN classes y ON y.id = p.b),
+links AS (SELECT a, b FROM met WHERE 100 * shared >= 85 * (total - shared)),
+steps AS (SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT id AS u, id AS r FROM classes UNION SELECT s.v, r.r FROM reach r JOIN steps s ON s.u = r.u WHERE r.r < s.v),
+roots AS (SELECT u, min(r) AS root FROM reach GROUP BY u)
+SELECT d.doc_id, len(d.s)::BIGINT AS n_shingles, coalesce(r.root, d.doc_id) AS component_id, d.doc_id = coalesce(r.root, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN roots r ON r.u = c.id
+"""

@@ -189,3 +189,52 @@ def sanitize(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
     if count_col in df.columns:
         result = result.withColumn(count_col, F.when(F.col("__rl_cover").isNotNull(), F.length(text_col).cast(df.schema[count_col].dataType)).otherwise(F.col(count_col)))
     return result.select(*df.columns)
+
+
+ORACLE = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+patterns(kind, name, pattern) AS (VALUES
+  (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+'),
+  (2, 'card', '[0-9](?:[\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')),
+cut AS (SELECT rid, kind, regexp_extract_all(t, pattern) AS hits, string_split_regex(t, pattern) AS gaps FROM docs, patterns),
+parts AS (SELECT rid, kind, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM cut WHERE len(hits) > 0),
+placed AS (
+  SELECT rid, kind, hit, regexp_replace(hit, '[^0-9]', '', 'g') AS digits,
+    sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY i)::BIGINT AS e FROM parts),
+base AS (
+  SELECT rid, kind, e - length(hit) AS s, e,
+    kind || ':' || CASE WHEN kind >= 2 THEN digits ELSE translate(hit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS entity
+  FROM placed WHERE CASE kind WHEN 0 THEN true
+    WHEN 1 THEN regexp_full_match(hit, '0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(\.0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}')
+    WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda k:
+      CASE WHEN k % 2 = 1 THEN digits[-k]::INT ELSE digits[-k]::INT * 2 % 10 + (digits[-k]::INT >= 5)::INT END)) % 10 = 0
+    ELSE length(digits) BETWEEN 9 AND 15 END),
+sides AS (
+  SELECT rid, entity, greatest(s - 64, 0) AS origin, substr(t, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)) AS near, true AS before FROM base JOIN docs USING (rid)
+  UNION ALL SELECT rid, entity, e, substr(t || repeat(' ', 65), e + 1, 64), false FROM base JOIN docs USING (rid)),
+halves AS (SELECT row_number() OVER () AS side, * FROM sides),
+runs AS (
+  SELECT side, rid, entity, origin, before, unnest(regexp_extract_all(near, '\p{L}+')) AS term, unnest(string_split_regex(near, '\p{L}+')[:len(regexp_extract_all(near, '\p{L}+'))]) AS gap,
+    generate_subscripts(regexp_extract_all(near, '\p{L}+'), 1) AS i FROM halves),
+ended AS (SELECT *, sum(length(gap) + length(term)) OVER (PARTITION BY side ORDER BY i)::BIGINT AS b FROM runs),
+terms AS (
+  SELECT rid, entity, term, origin + b - length(term) AS s, origin + b AS e FROM ended
+  WHERE length(term) >= 3 AND CASE WHEN before THEN b > length(term) OR origin = 0 ELSE b < 64 END),
+free AS (SELECT * FROM terms x WHERE NOT EXISTS (SELECT 1 FROM base o WHERE o.rid = x.rid AND x.s < o.e AND o.s < x.e)),
+pairs AS (SELECT entity, term, count(DISTINCT rid) AS n_both FROM free GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+with_entity AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM base GROUP BY ALL),
+with_term AS (
+  SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all(t, '\p{L}+'))) AS term FROM docs) SEMI JOIN pairs USING (term) GROUP BY ALL),
+disclosing AS (
+  SELECT entity, term FROM pairs JOIN with_entity USING (entity) JOIN with_term USING (term)
+  WHERE 100 * n_both >= 50 * n_term AND n_both * (SELECT count(*) FROM docs) >= 64 * n_term * n_entity),
+everything AS (
+  SELECT b.rid, b.kind, p.name, b.s, b.e FROM base b JOIN patterns p USING (kind)
+  UNION ALL SELECT DISTINCT rid, 4, 'term', s, e FROM free JOIN disclosing USING (entity, term)),
+written AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
+    string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < 4) AS own, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans
+  FROM everything GROUP BY rid)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+  sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN written USING (rid)
+"""

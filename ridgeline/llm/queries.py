@@ -65,9 +65,11 @@ QUERIES = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 ORACLES = {
+    "op1_near_duplicates": minhash.ORACLE,
     "op3_url_rules": url_rules.ORACLE,
     "op4_quality_rules": quality.ORACLE,
     "op6_chat_snapshots": chat.ORACLE,
     "op7_source_mix": mixing.ORACLE,
     "op8_exact_top_k": topk.ORACLE,
+    "op9_private_data": pii.ORACLE,
 }
