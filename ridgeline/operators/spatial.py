@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,13 +15,15 @@ from ridgeline.functions.text import whole_number
 
 def _cells(lon: Column, lat: Column, metres: float, max_lat: float) -> tuple[Column, Column]:
     """Cells at least as large as the radius on both axes, up to a latitude."""
-    dy = math.degrees(metres / EARTH_RADIUS) * 1.001
+    # A hundredth more than on the sphere covers the spheroid too, whose degrees are up to 0.7 % shorter.
+    dy = math.degrees(metres / EARTH_RADIUS) * 1.01
     dx = dy / math.cos(math.radians(min(89.0, max_lat + dy)))
     return F.floor(lon / dx), F.floor(lat / dy)
 
 
-def nearest_within(probes: DataFrame, known: DataFrame, metres: float, max_lat: float = 75.0) -> DataFrame:
+def nearest_within(probes: DataFrame, known: DataFrame, metres: float, max_lat: float = 75.0, distance: Callable[[Column, Column, Column, Column], Column] = haversine) -> DataFrame:
     """Nearest known place of each probe within a radius: ``probe_id``, ``known_id``, ``metres``; ties by id.
+    ``distance`` is ``geo.haversine`` or ``geo.spheroid_distance``.
 
     Each probe looks into the 3 x 3 cells around it, so the join is on equal cells; the nearest is
     kept by an aggregation that combines before its shuffle.
@@ -29,7 +32,7 @@ def nearest_within(probes: DataFrame, known: DataFrame, metres: float, max_lat:
     around = F.array(*[F.struct((cx + i).alias("cx"), (cy + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     asked = probes.select("probe_id", F.col("lon").alias("plon"), F.col("lat").alias("plat"), F.explode(around).alias("c")).select("probe_id", "plon", "plat", "c.*")
     held = known.select("known_id", "lon", "lat", cx.alias("cx"), cy.alias("cy"))
-    near = asked.join(held, ["cx", "cy"]).withColumn("metres", haversine(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat"))).where(F.col("metres") <= metres)
+    near = asked.join(held, ["cx", "cy"]).withColumn("metres", distance(F.col("plon"), F.col("plat"), F.col("lon"), F.col("lat"))).where(F.col("metres") <= metres)
     return near.groupBy("probe_id").agg(F.min(F.struct("metres", "known_id")).alias("m")).select("probe_id", "m.known_id", "m.metres")
 
 
@@ -119,3 +122,18 @@ def entered(track: DataFrame, ring: Column) -> DataFrame:
     now = track.withColumn("_in", inside(F.col("lon"), F.col("lat"), ring))
     before = F.lag("_in", 1, False).over(Window.partitionBy("track_id").orderBy("at"))
     return now.withColumn("_was", before).where("_in and not _was").drop("_in", "_was")
+
+
+def crossings(track: DataFrame, line: Column) -> DataFrame:
+    """Fixes of a track (``track_id``, ``at``, lon, lat) at which the step to them crosses the line (array of lon, lat); touching an end counts on one side only."""
+    order = Window.partitionBy("track_id").orderBy("at")
+    stepped = track.withColumns({"_lon": F.lag("lon").over(order), "_lat": F.lag("lat").over(order)})
+    edges = F.arrays_zip(F.slice(line, 1, F.size(line) - 1).alias("a"), F.slice(line, 2, F.size(line) - 1).alias("b"))
+    left = lambda px, py, qx, qy, x, y: (qx - px) * (y - py) - (qy - py) * (x - px) > 0
+    lon, lat, x, y = F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat")
+
+    def crossed(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return (left(x, y, lon, lat, a["lon"], a["lat"]) != left(x, y, lon, lat, b["lon"], b["lat"])) & (left(a["lon"], a["lat"], b["lon"], b["lat"], x, y) != left(a["lon"], a["lat"], b["lon"], b["lat"], lon, lat))
+
+    return stepped.where(F.col("_lon").isNotNull() & F.exists(edges, crossed)).drop("_lon", "_lat")

@@ -101,6 +101,17 @@ def byte_range(data: Column, first: Column, last: Column) -> Column:
     return F.substring(data, first + 1, F.least(last, F.octet_length(data) - 1) - first + 1)
 
 
+def requested_range(header: Column, size: Column) -> Column:
+    """Struct of ``status``, ``first`` and ``last`` for a range request (``bytes=first-last``) of a file: 206 with the part
+    that exists, 416 if none does, 400 for other units, 500 for numbers that can't be read, 200 with all of it without a header.
+    A missing first byte is the file's first, a missing last one its last."""
+    a, b = (F.regexp_extract(header, r"^bytes=\s*(\d*)-(\d*)\s*$", i) for i in (1, 2))
+    zero = F.lit(0).cast("long")
+    first, last = F.when(a == "", zero).otherwise(a.cast("long")), F.when(b == "", size - 1).otherwise(F.least(b.cast("long"), size - 1))
+    status = F.when(header.isNull(), 200).when(~header.startswith("bytes="), 400).when(~header.rlike(r"^bytes=\s*\d*-\d*\s*$"), 500).when((first >= size) | (first > last), 416).otherwise(206)
+    return F.struct(status.alias("status"), F.when(status == 206, first).when(status == 200, zero).alias("first"), F.when(status == 206, last).when(status == 200, size - 1).alias("last"))
+
+
 def coverage(west: float, south: float, east: float, north: float) -> str:
     """GeoJSON of the world with the covered box cut out, and the box's border."""
     import json
