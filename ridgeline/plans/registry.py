@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions import encode, geo, style, text, tiles
 from ridgeline.operators import features, focal, grid, spatial, tiling, trails
 from ridgeline.plans import standins as S
+from ridgeline.sources import archive, files, vector_tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -462,3 +463,58 @@ def wetness_ramp(spark, d):
 FROM (SELECT p_partkey, p_partkey * 7 % 9000 AS s FROM part)""")
 def duration_text(spark, d):
     return S.table(spark, d, "part").select(F.col("p_partkey").alias("id"), text.duration(F.col("p_partkey") * 7 % 9000).alias("took"))
+
+
+# Formats and triggers
+
+
+_TILES = "SELECT c_custkey AS id, 11 AS z, c_custkey * 37 % 2048 AS x, c_custkey * 53 % 2048 AS y FROM customer"
+
+
+@query(f"""WITH RECURSIVE s AS (SELECT id, x AS ox, y AS oy, x, y, 10 AS bit, 0::BIGINT AS d FROM ({_TILES})
+UNION ALL SELECT id, ox, oy,
+  CASE WHEN y >> bit & 1 = 1 THEN x WHEN x >> bit & 1 = 1 THEN 2047 - y ELSE y END, CASE WHEN y >> bit & 1 = 1 THEN y WHEN x >> bit & 1 = 1 THEN 2047 - x ELSE x END,
+  bit - 1, d + (1::BIGINT << (2 * bit)) * xor(3 * (x >> bit & 1), y >> bit & 1) FROM s WHERE bit >= 0)
+SELECT id, ox AS x, oy AS y, d + 1398101 AS tile FROM s WHERE bit = -1""")
+def archive_order(spark, d):
+    tiles = S.table(spark, d, "customer").selectExpr("c_custkey AS id", "11 AS z", "c_custkey * 37 % 2048 AS x", "c_custkey * 53 % 2048 AS y")
+    return tiles.select("id", "x", "y", archive.tile_number(F.col("z"), F.col("x"), F.col("y")).alias("tile"))
+
+
+@query("""SELECT id, status, CASE WHEN status = 206 THEN a END AS first, CASE WHEN status = 206 THEN least(b, 999) END AS last FROM (
+SELECT o_orderkey AS id, o_orderkey % 1200 AS a, o_custkey % 1500 AS b,
+  CASE WHEN o_orderkey % 7 = 0 THEN 400 WHEN o_orderkey % 1200 >= 1000 OR o_orderkey % 1200 > least(o_custkey % 1500, 999) THEN 416 ELSE 206 END AS status FROM orders)""")
+def range_requests(spark, d):
+    header = F.expr("concat(if(o_orderkey % 7 = 0, 'rows=', 'bytes='), o_orderkey % 1200, '-', o_custkey % 1500)")
+    made = files.requested_range(header, F.lit(1000).cast("long"))
+    return S.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), made.alias("r")).select("id", "r.*")
+
+
+@query("""SELECT event_id AS id, user_id AS track_id FROM (
+SELECT event_id, user_id, event_id * 37 % 101 - 50.5 AS x, lag(event_id * 37 % 101 - 50.5) OVER (PARTITION BY user_id ORDER BY ts) AS px FROM events) WHERE (x < 0) <> (px < 0)""")
+def track_crossings(spark, d):
+    fixes = S.table(spark, d, "events").selectExpr("event_id AS id", "user_id AS track_id", "ts AS at", "event_id * 37 % 101 - 50.5D AS lon", "event_id % 11 / 2.0D AS lat")
+    line = F.array(*[F.struct(F.lit(0.0).alias("lon"), F.lit(b).alias("lat")) for b in (-1000.0, 1000.0)])
+    return spatial.crossings(fixes, line).select("id", "track_id")
+
+
+@query(f"WITH {S.WAYS} SELECT way_id FROM ways WHERE \"natural\" = 'peak'")
+def metadata_filter(spark, d):
+    return S.ways(spark, d).where(features.tag(F.col("tags"), "natural") == "peak").select("way_id")
+
+
+@query()
+def vector_tile_layers(spark, d):
+    places = S.places(spark, d, "customer", "c_custkey")
+    ends = F.array(F.struct("lon", "lat"), F.struct((F.col("lon") + 0.3).alias("lon"), (F.col("lat") + 0.2).alias("lat")))
+    drawn = places.select(
+        F.when(F.col("id") % 2 == 0, "paths").otherwise("peaks").alias("layer"), "id", F.when(F.col("id") % 2 == 0, "line").otherwise("point").alias("kind"),
+        F.when(F.col("id") % 2 == 0, ends).otherwise(F.slice(ends, 1, 1)).alias("geometry"), F.create_map(F.lit("name"), F.concat(F.lit("P"), F.col("id") % 9)).alias("props"))
+    return vector_tiles.vector_tiles(drawn, F.lit(11)).select("z", "x", "y", "n", F.sha2("data", 256).alias("digest"))
+
+
+@query()
+def nearest_on_spheroid(spark, d):
+    probes = S.places(spark, d, "customer", "c_custkey").withColumnRenamed("id", "probe_id")
+    known = S.places(spark, d, "supplier", "s_suppkey").withColumnRenamed("id", "known_id")
+    return spatial.nearest_within(probes, known, 15_000.0, distance=geo.spheroid_distance).withColumn("metres", _r(F.col("metres"), 3))
