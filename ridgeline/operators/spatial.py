@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.geo import EARTH_RADIUS, haversine
 from ridgeline.functions.text import whole_number
+from ridgeline.operators.storage import materialize
 
 
 def _cells(lon: Column, lat: Column, metres: float, max_lat: float) -> tuple[Column, Column]:
@@ -82,28 +83,28 @@ def find_or_create(points: DataFrame, metres: float = 15.0, max_lat: float = 75.
     """Points in order of (created_at, id) take the nearest place within reach or become one: ``id``, ``place_id``, ``created``.
 
     The outcome depends on the order, so points that could meet stay together: those in touching
-    cells form a group, found by repeated minimum over neighbouring cells, and each group is worked
-    through in order.
+    cells form a group, found by repeated minima over neighbouring cells and over labels' own labels,
+    and each group is worked through in order.
     """
     cx, cy = _cells(F.col("lon"), F.col("lat"), metres, max_lat)
     placed = points.select("id", "lon", "lat", "created_at", cx.alias("cx"), cy.alias("cy"))
-    label = F.concat_ws(":", "cx", "cy")
-    cells = placed.select("cx", "cy").distinct().withColumn("label", label)
+    cells = placed.select("cx", "cy").distinct().withColumn("key", F.concat_ws(":", "cx", "cy")).withColumn("label", F.col("key"))
     steps = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    while True:
+    moved = True
+    while moved:
         told = cells.select("label", F.explode(steps).alias("c")).groupBy("c.cx", "c.cy").agg(F.min("label").alias("least"))
-        after = cells.join(told, ["cx", "cy"]).select("cx", "cy", "label", F.least("label", "least").alias("least")).persist()
-        moved = after.where("label <> least").limit(1).count()
-        cells = after.select("cx", "cy", F.col("least").alias("label"))
-        if not moved:
-            break
+        heard = materialize(cells.join(told, ["cx", "cy"]).select("cx", "cy", "key", F.least("label", "least").alias("label"), (F.col("least") < F.col("label")).alias("moved")))
+        moved = bool(heard.where("moved").limit(1).count())
+        # A cell also takes the label of the cell it is labelled after, so labels double their reach each round.
+        roots = heard.select(F.col("key").alias("label"), F.col("label").alias("root"))
+        cells = materialize(heard.join(roots, "label").select("cx", "cy", "key", F.least("label", "root").alias("label")))
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["created_at", "id"])
         return pd.DataFrame(_greedy([], list(zip(part["id"], part["lon"], part["lat"], strict=True)), metres), columns=["id", "place_id", "created"])
 
     kind = points.schema["id"].dataType.simpleString()
-    return placed.join(cells, ["cx", "cy"]).groupBy("label").applyInPandas(work, f"id {kind}, place_id {kind}, created boolean")
+    return placed.join(cells.select("cx", "cy", "label"), ["cx", "cy"]).groupBy("label").applyInPandas(work, f"id {kind}, place_id {kind}, created boolean")
 
 
 def inside(lon: Column, lat: Column, ring: Column) -> Column:

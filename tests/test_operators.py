@@ -184,3 +184,15 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r.trail_id, r.value) for r in spark.table("latest").collect()] == [("a", "overgrown")]
+
+
+def test_found_places_match_one_pass(spark):
+    draw = np.random.default_rng(3)
+    # A long chain of touching cells, and loose points.
+    lon = [15 + 0.00012 * i for i in range(150)] + list(15 + draw.random(150) * 0.02)
+    lat = [60.0] * 150 + list(60 + draw.random(150) * 0.01)
+    rows = [(int(i), float(lon[i]), float(lat[i]), int(t)) for i, t in enumerate(draw.permutation(300))]
+    df = spark.createDataFrame(rows, "id long, lon double, lat double, created_at long")
+    found = sorted(tuple(r) for r in spatial.find_or_create(df, 15.0).collect())
+    ordered = sorted(rows, key=lambda r: (r[3], r[0]))
+    assert found == sorted(spatial._greedy([], [r[:3] for r in ordered], 15.0))
