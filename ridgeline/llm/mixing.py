@@ -12,7 +12,8 @@ takes block r.  What the last whole slot leaves of a target is taken by closing
 
 Ranks and positions in a stream are running sums.  They are summed within chunks (of the
 schedule, or of the hash's range) and the chunks' totals are summed once more, so no task holds
-a whole source, even if a third of all rows is one.
+a whole source, even if a third of all rows is one.  A long schedule has chunks of about the root
+of its slots, so that neither a chunk nor the row of a source's totals outgrows a task.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from ridgeline.llm.common import materialize, word_count, words
 BLOCK = 64
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-#: Slots that are ranked together; cells of [0, 1) in which slots look for their source; bits of a point.
+#: Slots that are ranked together, at least; cells of [0, 1) in which slots look for their source; bits of a point.
 CHUNK, CELLS, BITS = 4096, 1024, 48
 
 
@@ -65,12 +66,13 @@ def slots(planned: DataFrame, block: int = BLOCK) -> DataFrame:
     n = -(-total // block)
     if n >= 1 << BITS:
         raise ValueError("more slots than points")
+    chunk = max(CHUNK, 1 << (n.bit_length() // 2))
     point = F.conv(F.reverse(F.lpad(F.bin("slot"), BITS, "0")), 2, 10).cast("double") / F.lit(float(1 << BITS))
     points = spark.range(n).withColumnRenamed("id", "slot").withColumn("u", point).withColumn("cell", F.floor(F.col("u") * CELLS))
     shares = planned.where("goal > 0").select(
         "source", (F.col("below") / F.col("total")).alias("from"), ((F.col("below") + F.col("goal")) / F.col("total")).alias("to"))
     shares = shares.withColumn("cell", F.explode(F.sequence(F.floor(F.col("from") * CELLS), F.least(F.floor(F.col("to") * CELLS), F.lit(CELLS - 1)))))
-    placed = points.join(shares, "cell").where("u >= from and u < to").select("slot", "source", F.expr(f"slot div {CHUNK}").alias("chunk"))
+    placed = points.join(shares, "cell").where("u >= from and u < to").select("slot", "source", F.expr(f"slot div {chunk}").alias("chunk"))
     placed = materialize(placed)
     per = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = placed.groupBy("source", "chunk").agg(F.count("*").alias("n")).select(

@@ -271,6 +271,14 @@ def test_mixture(spark):
     assert sum(len(r.text.split()) for r in mixed) == sum(r.taken for r in got)
 
 
+def test_chunks_of_the_schedule_do_not_change_ranks(spark, monkeypatch):
+    planned = mixing.plan(documents(spark, [(i, prose(i, 64), "aab"[i % 3]) for i in range(400)]).select("source", F.lit(64).cast("long").alias("size")))
+    ranks = lambda: sorted(tuple(r) for r in mixing.slots(planned).select("slot", "source", "rank").collect())
+    whole = ranks()
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    assert ranks() == whole and len({c for c, _, _ in whole}) > 16
+
+
 def test_schedule_is_even(spark):
     rows = [(i, prose(i, 64), "ab"[i % 2]) for i in range(200)]
     planned = mixing.plan(documents(spark, rows).select("source", F.lit(64).cast("long").alias("size")))
