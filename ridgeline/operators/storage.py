@@ -6,13 +6,18 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes df once to spark.checkpoint.dir (a folder of our own where that is unset) and cuts its lineage there."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     if not spark.sparkContext.getCheckpointDir():
         own = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", uuid.uuid4().hex)
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Writes df once to the shared folder and cuts its lineage there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

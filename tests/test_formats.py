@@ -5,12 +5,13 @@ import math
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ridgeline.functions import geo
 from ridgeline.operators import spatial
-from ridgeline.sources import archive, elements, files
+from ridgeline.sources import archive, elements, files, rasters
 from ridgeline.sources import vector_tiles as vt
 
 
@@ -195,3 +196,60 @@ def test_crossings(spark):
     line = F.array(*[F.struct(F.lit(a).alias("lon"), F.lit(b).alias("lat")) for a, b in ((0.0, 0.0), (0.0, 2.0), (2.0, 2.0))])
     track = spark.createDataFrame([(1, 0, -1.0, 1.0), (1, 1, 1.0, 1.0), (1, 2, 1.0, 1.5), (1, 3, 1.0, 3.0), (2, 0, -1.0, 5.0), (2, 1, 1.0, 5.0)], "track_id int, at int, lon double, lat double")
     assert [(r.track_id, r["at"]) for r in spatial.crossings(track, line).collect()] == [(1, 1), (1, 3)]
+
+
+def test_rasters_keep_cells_and_places(spark, tmp_path):
+    wanted = {("a", r, c): r * 100.0 + c + 0.5 for r in range(40) for c in range(53) if (r * 53 + c) % 5} | {("b", 0, 0): 7.0, ("b", 0, 1): None}
+    rows = [(t, 40 if t == "a" else 1, 53 if t == "a" else 2, r, c, 5000.0 if t == "a" else 0.0, 900.0, v) for (t, r, c), v in wanted.items()]
+    cells = spark.createDataFrame(rows, "tile string, rows int, cols int, row int, col int, x0 double, y1 double, v double")
+    folder = f"file://{tmp_path}/out"
+    assert rasters.write_files(rasters.raster_files(cells, "v", side=16, res=2.0), folder) == 2
+    meta = {r.tile: r for r in rasters.raster_meta(spark, folder).collect()}
+    a = meta["a"]
+    assert (a.cols, a.rows, a.kind, a.nodata, a.epsg, a.west, a.south, a.east, a.north) == (53, 40, "<f4", -9999.0, 3006, 5000.0, 820.0, 5106.0, 900.0)
+    got = rasters.raster_cells(spark, folder).collect()
+    assert {(r.tile, r.row, r.col): r.v for r in got} == {k: v for k, v in wanted.items() if v is not None} and len(got) == len(wanted) - 1
+    box = (5010.0, 850.0, 5030.0, 870.0)
+    part = rasters.raster_cells(spark, folder, box).collect()
+    assert {(r.row, r.col) for r in part} == {(r.row, r.col) for r in got if 5010 <= r.x <= 5030 and 850 <= r.y <= 870} and len(part) > 50
+    assert rasters.write_files(rasters.raster_files(cells.where("false"), "v"), folder) == 0
+
+
+def strips(order, kind, grid, packing, predictor, rows_each):
+    """A striped file made by hand."""
+    parts = []
+    for k in range(0, len(grid), rows_each):
+        part = grid[k : k + rows_each].astype(order + kind)
+        if predictor == 2:
+            part = np.concatenate([part[:, :1], np.diff(part, axis=1)], axis=1).astype(order + kind)
+        data = part.tobytes()
+        if predictor == 3:
+            planes = part.astype(">" + kind).view(np.uint8).reshape(*part.shape, -1).transpose(0, 2, 1).reshape(len(part), -1)
+            data = np.concatenate([planes[:, :1], np.diff(planes, axis=1)], axis=1).astype(np.uint8).tobytes()
+        parts.append(zlib.compress(data) if packing == 8 else data)
+    n = len(parts)
+    at = np.cumsum([8, *map(len, parts)])
+    lists = int(at[-1])
+    tags = [(256, 4, 1, grid.shape[1]), (257, 4, 1, grid.shape[0]), (258, 4, 1, int(kind[1]) * 8), (259, 4, 1, packing), (273, 4, n, lists), (278, 4, 1, rows_each), (279, 4, n, lists + 4 * n),
+            (317, 4, 1, predictor), (339, 4, 1, {"u": 1, "i": 2, "f": 3}[kind[0]])]
+    pack = lambda f, *v: struct.pack(order + f, *v)
+    ends = b"".join(pack("I", int(v)) for v in [*at[:-1], *map(len, parts)])
+    table = pack("H", len(tags)) + b"".join(pack("HHII", *t) for t in tags) + pack("I", 0)
+    return (b"II" if order == "<" else b"MM") + pack("HI", 42, lists + 8 * n) + b"".join(parts) + ends + table
+
+
+@pytest.mark.parametrize(("order", "kind", "packing", "predictor"), [("<", "u1", 1, 1), (">", "i2", 8, 2), (">", "f4", 1, 1), ("<", "f4", 8, 3), ("<", "u2", 8, 2)])
+def test_rasters_of_others(spark, tmp_path, order, kind, packing, predictor):
+    grid = (np.arange(7 * 9).reshape(7, 9) * 3 % 200).astype(kind)
+    (tmp_path / "made.tif").write_bytes(strips(order, kind, grid, packing, predictor, 3))
+    got = rasters.raster_cells(spark, str(tmp_path)).collect()
+    assert {(r.row, r.col): r.v for r in got} == {(r, c): float(grid[r, c]) for r in range(7) for c in range(9)}
+
+
+def test_files_that_are_no_rasters(tmp_path):
+    (tmp_path / "x.tif").write_bytes(b"II*")
+    with pytest.raises((ValueError, struct.error)):
+        rasters.described(str(tmp_path / "x.tif"))
+    (tmp_path / "y.tif").write_bytes(b"no raster at all")
+    with pytest.raises(ValueError, match="not a TIFF"):
+        rasters.described(str(tmp_path / "y.tif"))
