@@ -2,20 +2,28 @@
 
 A small network predicts every token from the tokens on both sides: the embeddings of the two
 tokens before and after it, one table for each place, are added to a hidden layer, from which the
-token's two digits are predicted one after the other (a two-level softmax, so the conditional
-distribution is normalised over all tokens at the cost of two short ones).  A document's score is
-the sum of the log-probabilities of its tokens.
-
-Tokens are words: the vocabulary's most frequent words over the whole corpus have a token each,
-all others share hashed tokens.  Training passes over the whole corpus: every task starts from
-the same weights, runs stochastic gradient descent over all its tokens in batches, and the tasks'
-weights are averaged by their tokens in two steps, so no task meets more than a bounded number of
-weight vectors.  All arithmetic on the network is numpy's.
+token's digits are predicted one after the other (a softmax for each digit, so the conditional
+distribution is normalised over all tokens at the cost of a few short ones).  A document's score is
+the sum of the log-probabilities of its words.
+
+The most frequent words over the whole corpus have a token each, and there are as many tokens as
+the square root of the corpus's words; so they, the embeddings and the digits grow with it.  All
+other words share hashed tokens, and a word's share of its token is its own count in the corpus:
+P(word) = P(token) * P(word | token), which is normalised over the corpus's words and one more in
+each hashed token that stands for all words it lacks.  All counts stay in a table; those of the
+next most frequent words are broadcast, the others joined by a shuffle.
+
+Training passes over the whole corpus: every task starts from the same weights, runs stochastic
+gradient descent over all its tokens in batches, and the tasks' weights are averaged by their
+tokens, slice by slice.  All arithmetic on the network is numpy's.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,31 +33,70 @@ from pyspark.sql import functions as F
 from ridgeline.llm.common import materialize
 
 DIGIT = 32
-VOCABULARY = DIGIT * DIGIT
-#: Tokens for words outside the most frequent; the last token stands beyond both ends of a text.
-HASHED, EDGE = 128, VOCABULARY - 1
+#: The least number of tokens.  Of all tokens one in HASHED is for words outside the most frequent; the last token stands beyond both ends of a text.
+VOCABULARY, HASHED = DIGIT * DIGIT, 8
+#: Words for each token, of which tasks hold the counts themselves; CACHE_ENTRIES at most, the others are joined.
+HELD = 8
+#: Weights in a slice.
+SLICE = 16384
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 BATCH, RATE = 4096, 0.5
 CACHE_ENTRIES = 400_000
 
 
-class Network:
-    """Embeddings by place, a hidden layer, and two digits' weights."""
+def whole(size: int) -> int:
+    """The least number of tokens from size on for which every value of the first digit has all values of the others."""
+    unit = DIGIT
+    while size > unit * DIGIT:
+        unit *= DIGIT
+    return -(-size // unit) * unit
+
+
+def _by(keys: np.ndarray):
+    """Order that sorts the keys, the distinct keys, where their runs start, and how long these are."""
+    order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")  # short ones are sorted by radix
+    return order, *_runs(keys[order])
+
+
+def _runs(laid: np.ndarray):
+    """The distinct values of sorted keys, where their runs start, and how long these are."""
+    starts = np.flatnonzero(np.concatenate([[True], laid[1:] != laid[:-1]]))
+    return laid[starts], starts, np.diff(np.append(starts, len(laid)))
 
-    SHAPES = {"embed": (len(PLACES), VOCABULARY, HIDDEN), "high": (HIDDEN + 1, DIGIT), "given": (DIGIT, HIDDEN), "low": (HIDDEN + 1, DIGIT), "shift": (DIGIT, DIGIT)}
 
-    def __init__(self, weights: np.ndarray | None = None):
-        sizes = {k: int(np.prod(s)) for k, s in self.SHAPES.items()}
+class Network:
+    """Embeddings by place, a hidden layer, and for each digit its weights, what the digits before add to
+    the hidden layer, and what they add to the digit."""
+
+    def __init__(self, weights: np.ndarray | None = None, size: int = VOCABULARY):
+        self.size, low = size, 1
+        while size > DIGIT ** (low + 1):
+            low += 1
+        #: What a token is divided by to get the digits up to each, and how many values each has.
+        self.units = [DIGIT**k for k in range(low, -1, -1)]
+        self.bases = [-(-size // self.units[0])] + [DIGIT] * low
+        shapes = {"embed": (len(PLACES), size, HIDDEN)}
+        for k, base in enumerate(self.bases):
+            shapes[f"out{k}"] = (HIDDEN + 1, base)
+            if k:
+                shapes[f"given{k}"] = (-(-size // self.units[k - 1]), HIDDEN)
+        shapes |= {f"shift{k}": (-(-size // self.units[k - 1]), DIGIT) for k in range(1, len(self.bases))}
+        sizes = {k: int(np.prod(s)) for k, s in shapes.items()}
+        total = sum(sizes.values())
         if weights is None:
             draw = np.random.default_rng(7)
-            weights = (draw.standard_normal(sum(sizes.values())) * 0.1).astype(np.float32)
-            weights[sum(sizes.values()) - sizes["shift"] :] = 0
+            weights = (draw.standard_normal(total) * 0.1).astype(np.float32)
+            weights[total - sum(v for k, v in sizes.items() if k.startswith("shift")) :] = 0
         self.weights = np.array(weights, dtype=np.float32)
         at = 0
-        for name, shape in self.SHAPES.items():
+        for name, shape in shapes.items():
             setattr(self, name, self.weights[at : at + sizes[name]].reshape(shape))
             at += sizes[name]
+        n = range(len(self.bases))
+        self.out = [getattr(self, f"out{k}") for k in n]
+        self.given = [None, *(getattr(self, f"given{k}") for k in n[1:])]
+        self.shift = [None, *(getattr(self, f"shift{k}") for k in n[1:])]
 
     @staticmethod
     def _softmax(x: np.ndarray) -> np.ndarray:
@@ -58,77 +105,110 @@ class Network:
         x /= x.sum(axis=1, keepdims=True)
         return x
 
+    def digits(self, token: np.ndarray) -> list[np.ndarray]:
+        return [token // u % b for u, b in zip(self.units, self.bases, strict=True)]
+
     def forward(self, around: np.ndarray, token: np.ndarray):
-        """Hidden layers and both digits' probabilities, given the tokens around (rows) and the first digit."""
+        """The hidden layer, and for each digit its layer and probabilities, given the tokens around (rows) and the digits before."""
         hidden = np.tanh(sum(self.embed[p][around[:, p]] for p in range(len(PLACES))))
-        first = token // DIGIT
-        p_high = self._softmax(hidden @ self.high[:-1] + self.high[-1])
-        second = hidden + self.given[first]
-        p_low = self._softmax(second @ self.low[:-1] + self.low[-1] + self.shift[first])
-        return hidden, second, p_high, p_low
+        layers, chances = [hidden], [self._softmax(hidden @ self.out[0][:-1] + self.out[0][-1])]
+        for k in range(1, len(self.bases)):
+            before = token // self.units[k - 1]
+            layers.append(hidden + self.given[k][before])
+            chances.append(self._softmax(layers[k] @ self.out[k][:-1] + self.out[k][-1] + self.shift[k][before]))
+        return hidden, layers, chances
 
     def log_probability(self, around: np.ndarray, token: np.ndarray) -> np.ndarray:
-        _, _, p_high, p_low = self.forward(around, token)
+        _, _, chances = self.forward(around, token)
         rows = np.arange(len(token))
-        return np.log(np.maximum(p_high[rows, token // DIGIT], 1e-30)) + np.log(np.maximum(p_low[rows, token % DIGIT], 1e-30))
+        return sum(np.log(np.maximum(p[rows, d], 1e-30)) for p, d in zip(chances, self.digits(token), strict=True))
 
     def learn(self, around: np.ndarray, token: np.ndarray, rate: float) -> None:
         """One step of gradient descent on a batch."""
         n, rows = len(token), np.arange(len(token))
-        hidden, second, g_high, g_low = self.forward(around, token)
-        first = token // DIGIT
-        g_high[rows, first] -= 1
-        g_low[rows, token % DIGIT] -= 1
-        g_second = g_low @ self.low[:-1].T
-        g_hidden = (g_high @ self.high[:-1].T + g_second) * (1 - hidden * hidden)
-        step = rate / n
-        self.high[:-1] -= step * (hidden.T @ g_high)
-        self.high[-1] -= step * g_high.sum(axis=0)
-        self.low[:-1] -= step * (second.T @ g_low)
-        self.low[-1] -= step * g_low.sum(axis=0)
-        one = np.zeros((n, DIGIT), dtype=np.float32)
-        one[rows, first] = 1
-        self.given -= step * (one.T @ g_second)
-        self.shift -= step * (one.T @ g_low)
+        hidden, layers, grads = self.forward(around, token)
+        step, back = rate / n, []
+        for k, (g, digit) in enumerate(zip(grads, self.digits(token), strict=True)):
+            g[rows, digit] -= 1
+            back.append(g @ self.out[k][:-1].T)
+        g_hidden = sum(back) * (1 - hidden * hidden)
+        order, *_ = _by(token)
+        laid = token[order]
+        for k, g in enumerate(grads):
+            self.out[k][:-1] -= step * (layers[k].T @ g)
+            self.out[k][-1] -= step * g.sum(axis=0)
+            if k:
+                met, starts, _ = _runs(laid // self.units[k - 1])
+                self.given[k][met] -= step * np.add.reduceat(back[k][order], starts, axis=0)
+                self.shift[k][met] -= step * np.add.reduceat(g[order], starts, axis=0)
         # A token's embedding moves by the mean over its own occurrences, damped for rare ones.
         for p in range(len(PLACES)):
-            counts = np.bincount(around[:, p], minlength=VOCABULARY).astype(np.float32)
-            order = np.argsort(around[:, p], kind="stable")
-            met = np.flatnonzero(counts)
-            starts = np.concatenate([[0], np.cumsum(counts[met]).astype(np.int64)[:-1]])
+            order, met, starts, counts = _by(around[:, p])
             sums = np.add.reduceat(g_hidden[order], starts, axis=0)
-            self.embed[p][met] -= rate * sums / (counts[met][:, None] + 16)
+            self.embed[p][met] -= rate * sums / (counts[:, None].astype(np.float32) + 16)
+
+
+@dataclass
+class Vocabulary:
+    """``held``: the most frequent words, of which the first have a token each and the others their
+    share of a hashed token; ``rest``: (word, share) of all other words of the corpus, a table."""
+
+    size: int
+    held: list[bytes]
+    shares: np.ndarray
+    rest: DataFrame
+    #: ln P(word | token) of a word that the corpus lacks, by hashed token.
+    unmet: np.ndarray
+
+    @property
+    def hashed(self) -> int:
+        return self.size // HASHED
+
+    @property
+    def own(self) -> int:
+        """Words with a token of their own."""
+        return min(len(self.held), self.size - 1 - self.hashed)
 
 
 class _Tokens(dict):
-    """Word -> token; unknown words go to hashed tokens."""
+    """Word -> place among the held words; others are noted and get -1 - hashed token."""
 
-    def __init__(self, words: list[bytes]):
-        super().__init__({w: HASHED + i for i, w in enumerate(words)})
+    def __init__(self, words: list[bytes], own: int, hashed: int):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.hashed, self.missed = hashed, []
+        self.tokens = np.array([hashed + i for i in range(own)] + [zlib.crc32(w) % hashed for w in words[own:]], dtype=np.int32)
 
     def __missing__(self, word: bytes) -> int:
-        import zlib
+        self.missed.append(word)
+        return -1 - zlib.crc32(word) % self.hashed
 
-        return zlib.crc32(word) % HASHED
 
-
-def tokens_of(text: bytes, known: _Tokens) -> np.ndarray:
+def places_of(text: bytes, known: _Tokens) -> np.ndarray:
     words = text.lower().split()
     return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
 
 
-def windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def tokens_of(places: np.ndarray, known: _Tokens) -> np.ndarray:
+    out = -1 - places
+    inside = places >= 0
+    out[inside] = known.tokens[places[inside]]
+    return out
+
+
+def windows(texts: list[np.ndarray], edge: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens around each token (one column a place) and the tokens, for texts laid end to end with edges between."""
-    gap = np.full(max(PLACES), EDGE, dtype=np.int32)
+    gap = np.full(max(PLACES), edge, dtype=np.int32)
     laid = np.concatenate([gap, *[x for t in texts for x in (t, gap)]])
-    inside = np.flatnonzero(laid != EDGE)
+    inside = np.flatnonzero(laid != edge)
     return np.stack([laid[inside + p] for p in PLACES], axis=1), laid[inside]
 
 
-def vocabulary(docs: DataFrame, size: int = EDGE - HASHED) -> list[bytes]:
-    """The most frequent words over all texts, ties by word; at most ``size`` of them, so they may be broadcast.
+def vocabulary(docs: DataFrame) -> Vocabulary:
+    """Counts of all words, ties by word.
 
-    Words are counted in each task as far as its memory allows, then by a shuffle.
+    Words are counted in each task as far as its memory allows, then by a shuffle.  As many tokens
+    as the square root of all words, HELD times as many words held; how often each count occurs
+    tells which words these are, so that no more of them are collected.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,52 +228,78 @@ def vocabulary(docs: DataFrame, size: int = EDGE - HASHED) -> list[bytes]:
                     yield flush()
         yield flush()
 
-    counted = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.orderBy(F.col("n").desc(), "word").limit(size).collect()]
+    counted = materialize(docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    often = sorted(counted.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
+    size = whole(max(VOCABULARY, math.isqrt(sum(r.n * r.words for r in often))))
+    hashed, least, room = size // HASHED, None, min(HELD * size, CACHE_ENTRIES)
+    for r in often:
+        room -= r.words
+        if room < 0:
+            break
+        least = r.n
+    own = size - 1 - hashed
+    held = sorted(((bytes(r.word), r.n) for r in counted.where(F.col("n") >= least).collect()), key=lambda r: (-r[1], r[0])) if least is not None else []
+    # What hashed tokens count in all: held words without a token, all other words, and one for the words that the corpus lacks.
+    totals = np.ones(hashed)
+    for w, n in held[own:]:
+        totals[zlib.crc32(w) % hashed] += n
+    token = F.pmod(F.crc32("word"), F.lit(hashed)).cast("int")
+    others = counted if least is None else counted.where(F.col("n") < least)
+    for r in others.groupBy(token.alias("token")).agg(F.sum("n").alias("n")).collect():
+        totals[r.token] += r.n
+    shares = np.array([0.0] * min(own, len(held)) + [math.log(n / totals[zlib.crc32(w) % hashed]) for w, n in held[own:]])
+    unmet = -np.log(totals)
+    of_token = docs.sparkSession.createDataFrame([(i, float(v)) for i, v in enumerate(unmet)], "token int, unmet double")
+    rest = others.withColumn("token", token).join(F.broadcast(of_token), "token").select("word", (F.log("n") + F.col("unmet")).alias("share"))
+    return Vocabulary(size, [w for w, _ in held], shares, rest, unmet)
 
 
 def _texts(batch: pa.RecordBatch, column: int, known: _Tokens, rows: int = 256):
     for at in range(0, batch.num_rows, rows):
         part = batch.slice(at, rows)
-        yield part, [tokens_of(bytes(t.as_buffer()) if t.is_valid else b"", known) for t in part.column(column)]
+        yield part, [places_of(bytes(t.as_buffer()) if t.is_valid else b"", known) for t in part.column(column)]
 
 
-def train(docs: DataFrame, words: list[bytes], rounds: int = 1) -> np.ndarray:
+def train(docs: DataFrame, words: Vocabulary, rounds: int = 1) -> np.ndarray:
     """Weights of the network after ``rounds`` passes over the corpus."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(words)
-    weights = Network().weights
+    context, size, own, hashed = docs.sparkSession.sparkContext, words.size, words.own, words.hashed
+    shared = context.broadcast(words.held[:own])
+    weights = Network(size=size).weights
+    slices = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(rounds):
-        start = spark.sparkContext.broadcast(weights.tobytes())  # 270 KB
+        start = context.broadcast(weights.tobytes())
 
         def descend(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            net, known = Network(np.frombuffer(start.value, dtype=np.float32)), _Tokens(shared.value)
+            net, known = Network(np.frombuffer(start.value, dtype=np.float32), size), _Tokens(shared.value, own, hashed)
             done = 0
             for batch in batches:
                 for _, texts in _texts(batch, 0, known):
-                    around, token = windows(texts)
+                    known.missed.clear()
+                    around, token = windows([tokens_of(t, known) for t in texts], size - 1)
                     for at in range(0, len(token), BATCH):
                         part = slice(at, at + BATCH)
                         if len(token[part]) >= 64:
                             net.learn(around[part], token[part], RATE / (1 + done / 2_000_000))
                         done += len(token[part])
-            yield pa.record_batch([pa.array([net.weights.tobytes()], pa.binary()), pa.array([float(done)])], names=["w", "n"])
+            if done:
+                for at in range(0, len(net.weights), SLICE * 64):
+                    cut = [net.weights[k : k + SLICE].tobytes() for k in range(at, min(at + SLICE * 64, len(net.weights)), SLICE)]
+                    yield pa.record_batch([pa.array(np.arange(len(cut), dtype=np.int32) + at // SLICE), pa.array(cut, pa.binary()), pa.array([float(done)] * len(cut))], names=["slice", "w", "n"])
 
         def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, n = np.zeros(len(weights)), 0.0
+            totals: dict[int, tuple[np.ndarray, float]] = {}
             for batch in batches:
-                for w, k in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                    total += k * np.frombuffer(w.as_buffer(), dtype=np.float32)
-                    n += k
-            if n:
-                yield pa.record_batch([pa.array([(total / n).astype(np.float32).tobytes()], pa.binary()), pa.array([n])], names=["w", "n"])
-
-        kind = "w binary, n double"
-        parts = docs.select("text").mapInArrow(descend, kind).where("n > 0")
-        halfway = parts.repartition(32).mapInArrow(average, kind)
-        final = halfway.coalesce(1).mapInArrow(average, kind).collect()
+                for k, w, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                    own = n * np.frombuffer(w.as_buffer(), dtype=np.float32).astype(float)
+                    before = totals.get(k, (0.0, 0.0))
+                    totals[k] = before[0] + own, before[1] + n
+            for k, (total, n) in totals.items():
+                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())], names=["slice", "w"])
+
+        parts = docs.select("text").mapInArrow(descend, "slice int, w binary, n double")
+        final = parts.repartition(slices, "slice").mapInArrow(average, "slice int, w binary").collect()
         if final:
-            weights = np.frombuffer(bytes(final[0].w), dtype=np.float32)
+            weights = np.frombuffer(b"".join(bytes(r.w) for r in sorted(final, key=lambda r: r.slice)), dtype=np.float32)
     return weights
 
 
@@ -210,25 +316,38 @@ def score(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", roun
     return apply_model(docs, words, train(docs, words, rounds))
 
 
-def apply_model(docs: DataFrame, words: list[bytes], weights: np.ndarray) -> DataFrame:
+def apply_model(docs: DataFrame, words: Vocabulary, weights: np.ndarray) -> DataFrame:
     """Scores (doc_id, text) rows with a trained network."""
-    context = docs.sparkSession.sparkContext
-    shared, model = context.broadcast(words), context.broadcast(weights.tobytes())
+    context, size, own, hashed = docs.sparkSession.sparkContext, words.size, words.own, words.hashed
+    shared, model = context.broadcast((words.held, words.shares)), context.broadcast(weights.tobytes())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, known = Network(np.frombuffer(model.value, dtype=np.float32)), _Tokens(shared.value)
+        held, shares = shared.value
+        net, known = Network(np.frombuffer(model.value, dtype=np.float32), size), _Tokens(held, own, hashed)
         for batch in batches:
-            for part, texts in _texts(batch, 1, known):
-                around, token = windows(texts)
-                logs = np.concatenate([net.log_probability(around[at : at + BATCH], token[at : at + BATCH]) for at in range(0, len(token), BATCH)] or [np.zeros(0)])
-                counts = np.array([len(t) for t in texts])
-                ends = np.concatenate([[0], np.cumsum(logs, dtype=np.float64)])
+            for part, places in _texts(batch, 1, known):
+                around, token = windows([tokens_of(t, known) for t in places], size - 1)
+                logs = np.concatenate([net.log_probability(around[at : at + BATCH], token[at : at + BATCH]) for at in range(0, len(token), BATCH)] or [np.zeros(0)]).astype(np.float64)
+                laid = np.concatenate(places)
+                inside = laid >= 0
+                logs[inside] += shares[laid[inside]]
+                counts = np.array([len(t) for t in places])
+                ends = np.concatenate([[0], np.cumsum(logs)])
                 at = np.concatenate([[0], np.cumsum(counts)])
-                sums = ends[at[1:]] - ends[at[:-1]]
-                per = [s / c if c else None for s, c in zip(sums.tolist(), counts.tolist(), strict=True)]
-                yield pa.record_batch([part.column(0), pa.array(counts, pa.int64()), pa.array(sums), pa.array(per, pa.float64())], names=["doc_id", "n_tokens", "log_likelihood", "per_token"])
-
-    return docs.mapInArrow(judge, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, log_likelihood double, per_token double")
-
-
-__all__ = ["Network", "apply_model", "materialize", "score", "train", "vocabulary"]
+                missed = np.concatenate([[0], np.cumsum(~inside)])[at]
+                rare = pa.ListArray.from_arrays(pa.array(missed, pa.int32()), pa.array(known.missed, pa.binary()))
+                known.missed.clear()
+                yield pa.record_batch([part.column(0), pa.array(counts, pa.int64()), pa.array(ends[at[1:]] - ends[at[:-1]]), rare], names=["doc_id", "n_tokens", "log_likelihood", "rare"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    judged = materialize(docs.mapInArrow(judge, f"doc_id {kind}, n_tokens long, log_likelihood double, rare array<binary>").withColumn("row", F.monotonically_increasing_id()))
+    of_token = docs.sparkSession.createDataFrame([(i, float(v)) for i, v in enumerate(words.unmet)], "token int, unmet double")
+    met = judged.select("row", F.explode("rare").alias("word")).withColumn("token", F.pmod(F.crc32("word"), F.lit(hashed)).cast("int"))
+    met = met.join(words.rest, "word", "left").join(F.broadcast(of_token), "token")
+    shares = met.groupBy("row").agg(F.sum(F.coalesce("share", "unmet")).alias("shares"))
+    scored = judged.join(shares, "row", "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0)))
+    per = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.select("doc_id", "n_tokens", "log_likelihood", per.alias("per_token"))
+
+
+__all__ = ["Network", "Vocabulary", "apply_model", "materialize", "score", "train", "vocabulary"]

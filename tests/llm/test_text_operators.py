@@ -314,6 +314,42 @@ def test_conditional_distribution_is_normalised():
     assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_words_share_their_token_by_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "HELD", 0.01)  # few counts are held, the others joined
+    texts = [f"{'common ' * 50}w{i % 3000} {'often ' * (i % 7)}x{i // 40}" for i in range(4000)]
+    docs = documents(spark, list(enumerate(texts))).select("doc_id", "text")
+    words = pseudo_likelihood.vocabulary(docs)
+    rest = {bytes(r.word): r.share for r in words.rest.collect()}
+    met = {w for t in texts for w in t.encode().split()}
+    assert set(words.held) | set(rest) == met and not set(words.held) & set(rest)
+    # The shares of each hashed token's words, and of one for all words the corpus lacks, add up to 1.
+    sums = np.exp(words.unmet)
+    for w, share in [*zip(words.held[words.own :], words.shares[words.own :]), *rest.items()]:
+        sums[zlib.crc32(w) % words.hashed] += np.exp(share)
+    assert sums == pytest.approx(np.ones(words.hashed))
+    # Words of one token get what their counts say, and one that was never met gets least.
+    twice = next(w for w in rest if w[:1] == b"w" and texts_with(texts, w) == 2)
+    once = next(w for w in rest if w[:1] == b"w" and texts_with(texts, w) == 1 and zlib.crc32(w) % words.hashed == zlib.crc32(twice) % words.hashed)
+    test = documents(spark, [(0, twice.decode()), (1, once.decode()), (2, None), (2, twice.decode())]).select("doc_id", "text")
+    rows = pseudo_likelihood.apply_model(test, words, pseudo_likelihood.Network(size=words.size).weights).collect()
+    scores = sorted(r.log_likelihood for r in rows)
+    assert scores[3] == 0 and scores[1] == scores[2] and scores[1] - scores[0] == pytest.approx(np.log(2))
+
+
+def texts_with(texts, word):
+    return sum(word.decode() in t.split() for t in texts)
+
+
+def test_tokens_grow_with_the_corpus(spark):
+    few = documents(spark, [(0, prose(1, 500))]).select("doc_id", "text")
+    many = few.crossJoin(spark.range(9000)).select("doc_id", "text")
+    sizes = [pseudo_likelihood.vocabulary(d).size for d in (few, many)]
+    assert sizes[0] == pseudo_likelihood.VOCABULARY and sizes[1] >= 4_500_000**0.5
+    net = pseudo_likelihood.Network(size=sizes[1])
+    logs = net.log_probability(np.tile(np.array([[1, 2, 3, 4]]), (net.size, 1)), np.arange(net.size))
+    assert len(net.bases) == 3 and np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_pipeline_stages(spark, tmp_path):
     base = prose(50, 300)
     rows = [(i, prose(i, 150), f"s{i % 3}") for i in range(30)] + [(100, base, "s0"), (101, edited(base, 1, 3), "s1"), (200, "too short", "s0"), (201, f"{prose(77, 100)} bo@x.se", "s2")]
