@@ -9,11 +9,15 @@ probabilities over all documents: P(entity | term) is the share of the term's do
 it stands near the entity.  Terms that disclose an entity by at least ``MIN_BITS`` bits, with at
 least ``GENERALISE`` percent of their documents and ``MIN_DOCS`` documents, are generalised
 where they stand near it, and removed from ``REMOVE`` percent on.
+
+``digest`` takes near as its SQL counterpart does, within ``NEAR`` code points.  ``sanitize`` takes
+the whole document: a term counts and is replaced wherever it stands in a document that holds the
+entity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import materialize
@@ -34,6 +38,10 @@ TERM = r"\p{L}+"
 #: Code points on each side of an entity that count as near; letters of a term at least.
 NEAR, MIN_LETTERS = 64, 3
 MIN_DOCS, MIN_BITS, GENERALISE, REMOVE = 3, 6, 50, 90
+#: Stands for each code point of a finding; a term beside it is part of a longer run of letters.
+MASK = "\ue000"
+FREE_TERM = rf"(?<![\p{{L}}{MASK}])\p{{L}}{{{MIN_LETTERS},}}+(?!{MASK})"
+TERMS = "array<struct<start:int,end:int,kind:int,remove:boolean>>"
 SPAN = "struct<start:int,end:int,kind:int,hit:string>"
 
 
@@ -132,6 +140,10 @@ def disclosing(found: DataFrame, df: DataFrame, text_col: str = "text") -> DataF
     entities = found.select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
     terms = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     known = pairs.join(entities, "entity").join(terms, "term")
+    return _disclosing(known, n)
+
+
+def _disclosing(known: DataFrame, n: int) -> DataFrame:
     share = 100 * F.col("both")
     bits = F.col("both").cast("double") * n >= F.lit(float(2**MIN_BITS)) * F.col("with_term") * F.col("with_entity")
     return known.where((share >= GENERALISE * F.col("with_term")) & bits).select("entity", "term", (share >= REMOVE * F.col("with_term")).alias("remove"))
@@ -150,7 +162,46 @@ def locate(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     hits = near.join(flagged, ["entity", "term"]).groupBy("__rl_id", "__rl_mark", "start", "end").agg(F.max("remove").alias("remove"))
     terms = hits.groupBy("__rl_id", "__rl_mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
     joined = found.join(terms, found["doc_id"].eqNullSafe(terms["__rl_id"]) & (found["mark"] == terms["__rl_mark"]), "left")
-    return joined.select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,kind:int,remove:boolean>>")).alias("terms"))
+    return joined.select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast(TERMS)).alias("terms"))
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with all findings masked, as long as before."""
+    plain = F.translate(text, MASK, " ")
+    step = lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(
+        F.struct(s["end"].alias("at"), F.array_append(F.array_append(a["out"], F.substring(plain, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))), F.repeat(F.lit(MASK), s["end"] - F.greatest(s["start"], a["at"]))).alias("out")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(spans, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(plain, a["at"] + 1, F.length(plain))))
+
+
+def locate_anywhere(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What :func:`locate` gives, with all of a document near each of its findings."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    found = df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("mark"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
+    found = found.withColumn("row", F.monotonically_increasing_id()).withColumn("text", F.when(F.size("spans") > 0, masked(F.col("text"), F.col("spans"))))
+    found = materialize(found)
+    n = found.count()
+    # As no term stands with an entity in more documents than it or the entity has, only these can pass the thresholds.
+    possible = lambda c: (F.col(c) >= MIN_DOCS) & (F.col(c) * 2**MIN_BITS <= n)
+    held = found.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity")).where(possible("with_entity"))
+    held = materialize(held.join(entities, "entity"))
+    terms = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)))).alias("term")).where(F.length("term") >= MIN_LETTERS)
+    terms = terms.groupBy("term").agg(F.count("*").alias("with_term")).where(possible("with_term"))
+    free = found.join(held.select("row").distinct(), "row").select("row", F.regexp_extract_all("text", F.lit(FREE_TERM), F.lit(0)).alias("hits"), F.split("text", FREE_TERM, -1).alias("gaps"))
+    met = materialize(free.select("row", F.explode(F.array_distinct("hits")).alias("term")).join(terms, "term"))
+    entities_of = held.groupBy("row").agg(F.collect_list(F.struct("entity", "with_entity")).alias("held"))
+    pairs = met.join(entities_of, "row").select("term", "with_term", F.inline("held"))
+    pairs = pairs.groupBy("entity", "term", "with_term", "with_entity").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCS)
+    flagged = materialize(_disclosing(pairs, n))
+    # Flagged terms of each document, then all places of theirs.
+    wanted = held.join(flagged, "entity").join(met.select("row", "term"), ["row", "term"]).groupBy("row", "term").agg(F.max("remove").alias("remove"))
+    wanted = materialize(wanted)
+    runs = free.join(wanted.select("row").distinct(), "row").select("row", F.posexplode(F.arrays_zip("gaps", "hits"))).where("col.hits is not null")
+    ends = F.sum(F.length("col.gaps") + F.length("col.hits")).over(Window.partitionBy("row").orderBy("pos")).cast("int")
+    placed = runs.select("row", F.col("col.hits").alias("term"), ends.alias("end")).join(wanted, ["row", "term"])
+    spots = placed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct((F.col("end") - F.length("term")).alias("start"), "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
+    return found.join(spots, "row", "left").select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast(TERMS)).alias("terms"))
 
 
 def written(spans: Column) -> Column:
@@ -169,10 +220,10 @@ def digest(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def sanitize(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
-    """df with sanitised texts: base findings become their kind in brackets, generalised terms
-    ``[TERM]``, removed terms nothing.  Of overlapping spans the first one's mark stands for all.
+    """df with sanitised texts: base findings become their kind in brackets, and wherever they stand
+    in a document with an entity that they disclose, generalised terms ``[TERM]``, removed terms nothing.  Of overlapping spans the first one's mark stands for all.
     A null text stays null.  All rows and columns stay; ``count_col`` is counted again."""
-    found = locate(df, id_col=id_col, text_col=text_col)
+    found = locate_anywhere(df, id_col=id_col, text_col=text_col)
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     cover = F.sort_array(F.concat(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.get(marks, s["kind"]).alias("by"))),

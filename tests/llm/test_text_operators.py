@@ -241,6 +241,17 @@ def test_disclosing_terms(spark):
     assert clean[0].startswith("write to  at [EMAIL] ") and clean[100] == rows[5][1]
 
 
+def test_disclosing_terms_are_found_anywhere(spark):
+    # One name always far from the address; another near it once and far elsewhere in the same document; one beside a finding.
+    far = [(i, f"Kvastberg sat {prose(i, 60)} bo@x.se, Dimfors {prose(50 + i, 60)} Dimfors sat, éko@y.se") for i in range(5)]
+    rows = far + [(100 + i, f"nobody sat {prose(i, 60)}") for i in range(400)] + [(600, "Kvastberg alone")]
+    clean = {r.doc_id: r for r in pii.sanitize(documents(spark, rows)).collect()}
+    for i in range(5):
+        # Kvastberg has five of its six documents with the address, Dimfors all.
+        assert clean[i].text == f"[TERM] sat {prose(i, 60)} [EMAIL],  {prose(50 + i, 60)}  sat, é[EMAIL]" and clean[i].n_chars == len(clean[i].text)
+    assert clean[600].text == "Kvastberg alone" and clean[100].text == rows[5][1]
+
+
 def test_mixture(spark):
     rows = [(i, prose(i, 30 + i % 50), "abcd"[min(3, i % 7)]) for i in range(200)] + [(900, "", "e"), (901, "one two", None), (5, rows_text := prose(5, 35), "a"), (5, rows_text, "a")]
     got = mixing.mix(documents(spark, rows)).collect()
