@@ -1,8 +1,8 @@
 """Near-duplicates by banded MinHash with sequential Bayesian verification.
 
 1. Every text becomes the set of its word shingles (64-bit hashes), a fingerprint of that set and
-   a MinHash signature.  Equal sets form a class, which goes on as one representative, so copies
-   are never paired.
+   a MinHash signature.  Equal sets form a class with a number of its own, whatever ids its rows
+   have, which goes on as one representative, so copies are never paired.
 2. Signatures are cut into bands of four values.  As many bands are used as make the chance that
    two texts at the threshold share none smaller than ``BAND_MISS``.
 3. Each bucket's members are first held against its smallest member (a star).  Links found there
@@ -143,8 +143,8 @@ def signatures(docs: DataFrame, words: int, size: int) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(sign, "doc_id long, mark long, n long, print binary, sig binary")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, words: int, size: int) -> DataFrame:
-    """``id`` and ``set`` (packed sorted hashes) of the documents whose ids are listed."""
+def shingle_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, words: int, size: int) -> DataFrame:
+    """``id`` and ``set`` (packed sorted hashes) of the classes whose ids are listed, by the text of each one's first row."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = _shingler(words, size)
@@ -153,9 +153,11 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, words: int, size: int) -> Data
                 part = batch.slice(at, 512)
                 yield pa.record_batch([part.column(0), pa.array([shingler.shingles(_raw(t)).tobytes() for t in part.column(1)], pa.binary())], names=["id", "set"])
 
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-    return rows.mapInArrow(pack, "id long, set binary")
+    listed = classes.join(ids, "id").select("id", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"), F.xxhash64("first.doc_id", "first.mark").alias("key"))
+    wanted = F.broadcast(listed) if ids.count() <= BROADCAST_IDS else listed
+    rows = docs.withColumn("mark", F.xxhash64("text")).withColumn("key", F.xxhash64("doc_id", "mark")).join(wanted, "key")
+    rows = rows.where(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))).select("id", "text")
+    return rows.mapInArrow(pack, "id long, set binary").dropDuplicates(["id"])  # the first row may be repeated
 
 
 def survives(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
@@ -188,7 +190,7 @@ def prune(pairs: DataFrame, classes: DataFrame, percent: int, size: int) -> Data
     return possible.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a long, b long")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, percent: int, words: int, size: int) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, size: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +203,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int, words: int, size: in
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    sets = materialize(shingle_sets(docs, ids, words, size))
+    sets = materialize(shingle_sets(docs, classes, ids, words, size))
     of = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
     both = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "set_a", "set_b")
     return both.mapInArrow(confirm, "a long, b long")
@@ -274,7 +276,7 @@ def cross_tasks(members: DataFrame, labels: DataFrame, classes: DataFrame, perce
     return keyed.mapInArrow(compare, "task long, id long, part long, with binary")
 
 
-def cross_links(tasks: DataFrame, docs: DataFrame, percent: int, words: int, size: int) -> DataFrame:
+def cross_links(tasks: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, words: int, size: int) -> DataFrame:
     """Verified links (a, b) of the tasks' candidates on full shingle sets: one at most for each
     document and component, which connects as well as all of them."""
 
@@ -302,7 +304,7 @@ def cross_links(tasks: DataFrame, docs: DataFrame, percent: int, words: int, siz
 
     ids = materialize(tasks.select("id").distinct())
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = tasks.join(shingle_sets(docs, ids, words, size), "id").repartition(n, "task").sortWithinPartitions("task")
+    keyed = tasks.join(shingle_sets(docs, classes, ids, words, size), "id").repartition(n, "task").sortWithinPartitions("task")
     return keyed.select("task", "id", "part", "with", "set").mapInArrow(confirm, "a long, b long")
 
 
@@ -348,27 +350,28 @@ def near_duplicates(df: DataFrame, *, words: int = 5, percent: int = 80, id_col:
 
     Two texts are linked if 100 * shared shingles >= percent * shingles of both together.  A null
     or blank text has no shingles and links with nothing; a text with fewer words than a shingle
-    is one shingle.  ``component_id`` is the smallest id that links lead to; a row is kept if that
-    is its own.  Rows that repeat an id with another text are documents of their own; a row with
-    a null id joins the component of its text but is kept only if that has no id at all
-    (``component_id`` is null then).  An empty table gives an empty table; further columns are left behind.
+    is one shingle.  ``component_id`` is the smallest id that links lead to, null if none of its
+    rows has an id.  One row of each component is kept: one with that id; of several such rows the
+    one with the smallest mark, of equal rows any one.  Rows that repeat an id with another text
+    are documents of their own, and so are all rows without shingles, which are kept.  An empty table gives an empty table; further columns are left behind.
     """
     bands = bands_for(percent)
     size = bands * ROWS
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
-    signed = materialize(signatures(docs, words, size))
-    classes = signed.where("print is not null and doc_id is not null").groupBy("print", "n", "sig").agg(F.min("doc_id").alias("id"))
-    classes = materialize(classes)
+    signed = materialize(signatures(docs, words, size).withColumn("row", F.monotonically_increasing_id()))
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "row")
+    classes = signed.where("print is not null").groupBy("print", "n", "sig").agg(F.min(rank).alias("first"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))
     cut = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring("sig", b * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("bucket")))
     banded = classes.select("id", F.inline(cut))
     shared = banded.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("most"))
     members = materialize(banded.join(shared.where("lead <> most").select("bucket", "lead"), "bucket"))
 
     stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = verify(materialize(prune(stars, classes, percent, size)), docs, percent, words, size)
+    links = verify(materialize(prune(stars, classes, percent, size)), docs, classes, percent, words, size)
     labels = components(links)
     crossed = materialize(cross_tasks(members.drop("lead"), labels, classes, percent, size))
-    more = cross_links(crossed, docs, percent, words, size)
+    more = cross_links(crossed, docs, classes, percent, words, size)
     of = lambda x: labels.select(F.col("id").alias(x), F.col("root").alias(f"root_{x}"))
     between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     second = components(between)
@@ -376,19 +379,28 @@ def near_duplicates(df: DataFrame, *, words: int = 5, percent: int = 80, id_col:
     lower = labels.join(over, "root", "left").select("id", F.coalesce("top", "root").alias("component"))
     # Representatives that had no link in the first round may have one in the second.
     alone = second.join(labels.select("id"), "id", "left_anti").select("id", F.col("root").alias("component"))
-    found = classes.select("id", "print").join(lower.unionByName(alone), "id", "left").select(F.col("print").alias("p"), F.coalesce("component", "id").alias("component"))
-    placed = signed.join(found, F.col("print") == F.col("p"), "left")
-    component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    found = classes.select("id", "print", "first").join(lower.unionByName(alone), "id", "left").select(F.col("print").alias("p"), "first", F.coalesce("component", "id").alias("component"))
+    leads = found.groupBy("component").agg(F.min("first").alias("lead"))
+    placed = signed.join(found.join(leads, "component").select("p", "lead"), F.col("print") == F.col("p"), "left")
+    component = F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("lead.doc_id"))
     return placed.select(
         "doc_id", "mark", F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        (F.col("print").isNull() | F.coalesce(F.col("row") == F.col("lead.row"), F.lit(False))).alias("kept"),
     )
 
 
 def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of df that are kept, with all their columns."""
-    gone = near_duplicates(df, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    return df.join(gone, df[id_col].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(df[text_col]) == gone["_mark"]), "left_anti")
+    """The rows of df that are kept, with all their columns; of rows with the same id and text any one."""
+    rows = near_duplicates(df, id_col=id_col, text_col=text_col, **options).groupBy(F.col("doc_id").alias("__rl_id"), F.col("mark").alias("__rl_mark"))
+    less = materialize(rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("kept"), 1)).alias("n_kept")).where("n_kept < n"))
+
+    def met(among: DataFrame, how: str) -> DataFrame:
+        return df.join(among, df[id_col].cast("long").eqNullSafe(among["__rl_id"]) & (F.xxhash64(df[text_col].cast("string")) == among["__rl_mark"]), how)
+
+    stay, repeated = met(less, "left_anti"), less.where("n_kept > 0")
+    if repeated.isEmpty():
+        return stay
+    return stay.unionByName(met(repeated, "inner").dropDuplicates(["__rl_id", "__rl_mark"]).select(*[df[c] for c in df.columns]))
 
 
 ORACLE = r"""

@@ -77,6 +77,26 @@ def test_near_duplicates_match_brute_force(spark, words, percent, monkeypatch):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    a, b, c, d = (prose(i, 80) for i in range(4))
+    rows = [
+        *[(None, a)] * 5, (None, edited(a, 1, 1)),  # no ids at all
+        *[(10, b)] * 4, (11, b), (None, b),  # repeated rows
+        (20, c), (21, edited(c, 2, 1)), (21, d),  # one id, two texts; only one of them has a link
+        (30, prose(30, 80)), (30, edited(prose(30, 80), 3, 1)),  # one id, two linked texts
+        (40, ""), (40, ""), (None, None),  # no shingles
+    ]
+    docs = documents(spark, rows)
+    found = minhash.near_duplicates(docs)
+    assert found.count() == len(rows)
+    stay = sorted((r.doc_id or 0, r.text or "") for r in minhash.keep_one(docs).collect())
+    assert len(stay) == 8 and stay[:2] == [(0, ""), stay[1]]
+    assert stay[1][1] in (a, edited(a, 1, 1)) and stay[2:5] == [(10, b), (20, c), (21, d)]
+    assert stay[5][0] == 30 and stay[6:] == [(40, ""), (40, "")]
+    assert sum(r.kept for r in found.collect()) == len(stay)
+    assert minhash.keep_one(docs).columns == docs.columns
+
+
 def test_posterior_bounds():
     for n, least in minhash.least_matches(85, 76):
         draw = np.random.default_rng(n).random((20000, n)) < 0.85
