@@ -30,10 +30,51 @@ def fill_round(cells: DataFrame, value: str) -> DataFrame:
 
 
 def fill_gaps(cells: DataFrame, value: str, rounds: int = 5) -> DataFrame:
-    """Up to ``rounds`` simultaneous rounds of :func:`fill_round`; cells further from data stay empty (see :func:`nearest`)."""
+    """``rounds`` simultaneous rounds of :func:`fill_round`, then :func:`fill_nearest`; all cells of a tile with any data have a value."""
     for _ in range(rounds):
         cells = fill_round(cells, value)
-    return cells
+    return fill_nearest(cells, value)
+
+
+def fill_nearest(cells: DataFrame, value: str) -> DataFrame:
+    """What :func:`nearest` does to a whole grid, in rows and then in columns of it.
+
+    In each row every column gets the row's nearest cell with data; in each column every row then
+    takes the nearest of those, looking as far up and down as the best one so far is away.
+    Columns: tile, rows, cols, row, col, value.
+    """
+    schema = cells.where(F.col(value).isNotNull()).select("tile", "rows", "cols", "row", "col", F.col(value).cast("double").alias(value))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.schema)
+
+    def along(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("col")
+        have, own, cols = part["col"].to_numpy(), part[value].to_numpy(), np.arange(part["cols"].iloc[0])
+        at = np.searchsorted(have, cols)
+        left, right = np.maximum(at - 1, 0), np.minimum(at, len(have) - 1)
+        take = np.where(np.abs(cols - have[left]) <= np.abs(have[right] - cols), left, right)
+        first = part.iloc[0]
+        return pd.DataFrame({"tile": first["tile"], "rows": first["rows"], "cols": first["cols"], "row": first["row"], "col": cols, value: own[take], "away": np.abs(cols - have[take])})
+
+    def across(part: pd.DataFrame) -> pd.DataFrame:
+        first = part.iloc[0]
+        n, far = int(first["rows"]), np.iinfo(np.int64).max // 4
+        away, own = np.full(n, far), np.full(n, np.nan)
+        away[part["row"]], own[part["row"]] = part["away"].to_numpy(dtype=np.int64) ** 2, part[value]
+        best, source = away.copy(), np.arange(n)
+        k = 1
+        while k < n and k * k <= best.max():
+            # The row above goes first among equally near ones, the one below only if it is nearer.
+            up = away[:-k] + k * k
+            better = (up < best[k:]) | ((up == best[k:]) & (np.arange(n - k) < source[k:]))
+            best[k:], source[k:] = np.where(better, up, best[k:]), np.where(better, np.arange(n - k), source[k:])
+            down = away[k:] + k * k
+            better = down < best[:-k]
+            best[:-k], source[:-k] = np.where(better, down, best[:-k]), np.where(better, np.arange(k, n), source[:-k])
+            k += 1
+        return pd.DataFrame({"tile": first["tile"], "rows": n, "cols": first["cols"], "row": np.arange(n), "col": first["col"], value: own[source]})
+
+    wide = schema.groupBy("tile", "row").applyInPandas(along, f"{kinds}, away long")
+    return wide.groupBy("tile", "col").applyInPandas(across, kinds)
 
 
 def dilate(cells: DataFrame, rounds: int = 1) -> DataFrame:

@@ -56,6 +56,13 @@ def grid_chm(spark, d):
     return cells.select("tile", "row", "col", _r(grid.canopy(F.col("dsm"), F.col("dtm"))).alias("chm"))
 
 
+@query()
+def grid_chm_filled(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).select("tile", "rows", "cols", "row", "col", "dsm", "dtm")
+    both = focal.fill_gaps(cells.drop("dtm"), "dsm").join(focal.fill_gaps(cells.drop("dsm"), "dtm").drop("rows", "cols"), ["tile", "row", "col"])
+    return both.select("tile", "row", "col", _r(grid.canopy(F.col("dsm"), F.col("dtm"))).alias("chm"))
+
+
 @query(f"WITH {S.POINTS} SELECT tile, cols, rows, count(*)::BIGINT AS cells, count(dtm)::BIGINT AS ground, bool_and(dtm IS NOT NULL) AS whole FROM cells GROUP BY ALL")
 def grid_states(spark, d):
     cells = grid.surfaces(S.points(spark, d))

@@ -1,12 +1,14 @@
 """Operators of the terrain and trail engine on small hand-worked cases."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from ridgeline.functions import encode, geo, style, text, tiles
 from ridgeline.operators import features, focal, grid, spatial, tiling, trails
 from ridgeline.sources import files
@@ -36,6 +38,33 @@ def test_fill_repeats_the_border(cells):
     assert by_cell(focal.fill_gaps(cells, "density"), "density")[1, 0] == pytest.approx(0.53333, abs=1e-4)
 
 
+def test_gaps_far_from_data_take_the_nearest_cell(spark):
+    draw = np.random.default_rng(3)
+    known = {(int(r), int(c)): float(v) for r, c, v in zip(draw.integers(0, 30, 9), draw.integers(0, 41, 9), draw.normal(size=9), strict=True)}
+    cells = spark.createDataFrame([("t", 30, 41, r, c, v) for (r, c), v in known.items()] + [("t", 30, 41, 0, 40, None), ("none", 2, 2, 0, 0, None)], "tile string, rows int, cols int, row int, col int, v double")
+    whole = np.full((30, 41), np.nan)
+    for at, v in known.items():
+        whole[at] = v
+    assert by_cell(focal.fill_nearest(cells, "v"), "v") == {(r, c): v for (r, c), v in np.ndenumerate(focal.nearest(whole))}
+    filled = by_cell(focal.fill_gaps(cells, "v"), "v")
+    whole = np.full((30, 41), np.nan)
+    near = cells
+    for _ in range(5):
+        near = focal.fill_round(near, "v")
+    near = by_cell(near, "v")
+    for at, v in near.items():
+        whole[at] = v
+    assert len(near) < len(filled) == 30 * 41
+    assert filled == pytest.approx({(r, c): v for (r, c), v in np.ndenumerate(focal.nearest(whole))})
+
+
+def test_the_entry_has_no_gaps(spark):
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    rows = __spark_entry__.entry(spark).collect()
+    assert rows and all(r.chm is not None for r in rows)
+
+
 def test_canopy(spark):
     df = spark.createDataFrame([(20.0, 11.0), (11.0, 11.4), (11.4, 11.0), (5.0, None)], "s double, t double")
     assert [r[0] for r in df.select(grid.canopy(F.col("s"), F.col("t"))).collect()] == [9.0, 0.0, 0.0, None]
