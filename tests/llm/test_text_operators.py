@@ -202,21 +202,39 @@ def test_nested_rules():
     assert [m and m[1] for m in sweep.match(["a.com"] * 4 + ["b.com"], ["/x/y/zz", "/x/yy", "/xa", "/q", "/x"])] == ["/x/y/z", "/x/y", "/x", "/", "/"]
 
 
+def brute_top_k(rows, k=10):
+    """(query, rank, id, score) over all pairs of one dimension, by whole numbers of any size held to a long's range."""
+    held = lambda x: min(max(x, topk.LEAST), topk.MOST)
+    whole = [(i, [max(min(int(np.floor(1024 * float(np.float32(x)))), 2**63 - 1), -(2**63)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    asked = {}
+    for q, v in whole:
+        if q % 100 == 0:
+            asked[q] = min(asked.get(q, v), v)
+    out = set()
+    for q, v in asked.items():
+        best = sorted((-held(sum(a * b for a, b in zip(v, u, strict=True))), i) for i, u in whole if i != q and len(u) == len(v))[:k]
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    return out
+
+
 def test_top_k_matches_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
     draw = np.random.default_rng(3)
     rows = [(i, [float(x) for x in np.round(draw.normal(size=6), 1)]) for i in range(500)]
     rows += [(500, None), (600, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (700, [float("nan")] * 6), (800, [1.0, 2.0]), (None, [1.0] * 6), (11, rows[11][1])]
-    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, id int")
-    got = collections.defaultdict(list)
-    for r in topk.top_k(df, topk.every_hundredth(df)).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r.vec_id, r.score))
-    whole = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v and len(v) == 6 and all(x is not None and x == x for x in v)]
-    for q, v in [w for w in whole if w[0] % 100 == 0]:
-        want = sorted(((-sum(a * b for a, b in zip(v, u, strict=True)), i) for i, u in whole if i != q))[:10]
-        assert got.pop(q) == [(i, -s) for s, i in want]
-    assert not got
+    rows += [(900, []), (901, []), (902, []), (1000, [3.0]), (1001, [-2.0]), (801, [0.5, -1.0]), (300, rows[7][1])]
+    rows += [(2000, [1e6] * 6), (2001, [-3e5] * 6), (2100, [1e30, -1e30, 1.0, 0.0, 2e17, -5.0]), (2101, [1e30] * 6), (2102, [-1e30] * 6), (2200, [float("inf")] * 6)]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, id int, v int")
+    got = lambda frame, k=10, **more: sorted(tuple(r) for r in topk.top_k(frame, topk.every_hundredth(frame), k, **more).collect())
+    assert got(df) == sorted(brute_top_k(rows))
+    few = rows[:20] + rows[100:103] + rows[500:]
+    small = spark.createDataFrame([(i, v) for i, v in few], "vec_id long, embedding array<float>")
+    for size, block, lists in ((500, 2, 3), (1 << 20, 1024, 1)):  # many parts of the queries, many blocks, other lists
+        monkeypatch.setattr(topk, "QUERY_BYTES", size)
+        monkeypatch.setattr(topk, "QUERIES", block)
+        monkeypatch.setattr(topk, "CANDIDATES", 7)
+        assert got(small, 3, n_lists=lists) == sorted(brute_top_k(few, 3))
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    assert topk.top_k(df, df.limit(0)).count() == 0
 
 
 def test_chat(spark):
