@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ridgeline.llm import bpe, chat, minhash, mixing, pii, pseudo_likelihood, quality, sstable, topk, url_rules
 
+TABLES = "/root/testdata/sf0.01"
 KIND = "doc_id long, text string, lang string, source string, n_chars long, id long, mark string, size long, `_id` long, `_mark` long"
 
 
@@ -337,30 +339,71 @@ def test_schedule_is_even(spark):
         assert abs(got[:n].count("a") / n - share) < 0.1
 
 
-def test_pseudo_likelihood_prefers_order(spark):
+def sample(spark):
+    """Whole documents of the test tables, by id."""
+    if not os.path.isdir(TABLES):
+        pytest.skip("no test tables")
+    return sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect() if r.text)
+
+
+def test_registered_scores_tell_gibberish_and_disorder(spark):
     draw = random.Random(1)
-    steps = {w: draw.sample(WORDS[:30], 2) for w in WORDS[:30]}
-
-    def chain(n):
-        out = [draw.choice(WORDS[:30])]
-        while len(out) < n:
-            out.append(draw.choice(steps[out[-1]]))
-        return out
-
-    train = documents(spark, [(i, " ".join(chain(120))) for i in range(300)]).select("doc_id", "text")
-    held = [chain(120) for _ in range(20)]
-    mixed = [draw.sample(x, len(x)) for x in held]
-    test = documents(spark, [(i, " ".join(x)) for i, x in enumerate(held + mixed)]).select("doc_id", "text")
+    rows = sample(spark)
+    long = [t for _, t in rows if 100 <= len(t.split()) <= 2000 and len(set(t.split())) > 60]
+    held, rows = long[::10], [r for r in rows if r[1] not in set(long[::10])]
+    consonants = [" ".join("".join(draw.choice("bcdfghjklmnpqrstvwxz") for _ in range(draw.randint(3, 9))) for _ in range(120)) for _ in range(40)]
+    mixed = [" ".join(draw.sample(t.split(), len(t.split()))) for t in held]
+    train = documents(spark, rows).select("doc_id", "text")
     words = pseudo_likelihood.vocabulary(train)
-    scores = {r.doc_id: r.per_token for r in pseudo_likelihood.apply_model(test, words, pseudo_likelihood.train(train, words, 6)).collect()}
-    assert sum(scores[i] > scores[20 + i] for i in range(20)) >= 18
+    weights = pseudo_likelihood.train(pseudo_likelihood.tokenize(train, words), words)
+    test = documents(spark, list(enumerate(held + mixed + consonants))).select("doc_id", "text")
+    scores = {r.doc_id: r.per_token for r in pseudo_likelihood.apply_model(pseudo_likelihood.tokenize(test, words), words, weights).collect()}
+    n = len(held)
+    prose, disorder, nonsense = [scores[i] for i in range(n)], [scores[n + i] for i in range(n)], [scores[2 * n + i] for i in range(40)]
+    assert max(nonsense) < sorted(prose)[n // 20]
+    assert sum(a > b for a, b in zip(prose, disorder, strict=True)) > 0.6 * n
+    # Nonsense inside the corpus that the query itself trains on scores low too.
+    scored = {r.doc_id: r.per_token for r in pseudo_likelihood.score(documents(spark, rows + [(-1 - i, t) for i, t in enumerate(consonants)])).collect()}
+    assert max(scored[-1 - i] for i in range(40)) < sorted(scored[i] for i, _ in rows)[len(rows) // 5]
+
+
+def plain_scores(texts, words, weights):
+    """Score by score: each conditional from its own sums, nothing shared or laid end to end."""
+    net, out = pseudo_likelihood.Network(weights, words.size), []
+    place = {w: i for i, w in enumerate(words.held)}
+    rest = {bytes(r.word): r.share for r in words.rest.collect()}
+    for text in texts:
+        cut, total = (text or "").encode().lower().split(), 0.0
+        token = [int(words.tokens[place[w]]) if w in place else zlib.crc32(w) % words.hashed for w in cut]
+        for i, (w, t) in enumerate(zip(cut, token, strict=True)):
+            around = [token[i + d] if 0 <= i + d < len(token) else words.size - 1 for d in pseudo_likelihood.PLACES]
+            h = np.tanh(sum(net.embed[a, p * pseudo_likelihood.HIDDEN : (p + 1) * pseudo_likelihood.HIDDEN].astype(float) for p, a in enumerate(around)))
+            for k, (unit, base) in enumerate(zip(net.units, net.bases, strict=True)):
+                before = t // net.units[k - 1] if k else 0
+                logits = (h * net.gate[k][before] if k else h) @ net.out[k].astype(float) + net.shift[k][before]
+                total += logits[t // unit % base] - np.log(np.exp(logits).sum())
+            total += float(words.shares[place[w]]) if w in place else rest.get(w, words.unmet[t])
+        out.append((len(cut), total))
+    return out
+
+
+def test_scores_match_a_plain_loop(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "BATCH", 64)  # runs are cut inside texts
+    monkeypatch.setattr(pseudo_likelihood, "HELD", 0.01)
+    texts = [prose(i, 40 + i) + f" w{i}" for i in range(60)] + ["", None, "one", prose(3, 5000), " \n "]
+    docs = documents(spark, list(enumerate(texts))).select("doc_id", "text")
+    words = pseudo_likelihood.vocabulary(docs)
+    tokenized = pseudo_likelihood.tokenize(docs, words)
+    weights = pseudo_likelihood.train(tokenized, words)
+    found = sorted(tuple(r) for r in pseudo_likelihood.apply_model(tokenized, words, weights).collect())
+    for (_, n, total, per), (count, want) in zip(found, plain_scores(texts, words, weights), strict=True):
+        assert n == count and total == pytest.approx(want, rel=1e-4, abs=1e-4) and (per is None) == (n == 0)
 
 
 def test_conditional_distribution_is_normalised():
     net = pseudo_likelihood.Network()
-    around = np.tile(np.array([[1, 2, 3, 4]]), (pseudo_likelihood.VOCABULARY, 1))
-    logs = net.log_probability(around, np.arange(pseudo_likelihood.VOCABULARY))
-    assert np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+    logs = [net.log_probability(np.array([1, 2, t, 3, 4], dtype=np.int32))[0] for t in range(net.size)]
+    assert np.exp(np.array(logs, dtype=float)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_words_share_their_token_by_their_counts(spark, monkeypatch):
@@ -380,7 +423,7 @@ def test_words_share_their_token_by_their_counts(spark, monkeypatch):
     twice = next(w for w in rest if w[:1] == b"w" and texts_with(texts, w) == 2)
     once = next(w for w in rest if w[:1] == b"w" and texts_with(texts, w) == 1 and zlib.crc32(w) % words.hashed == zlib.crc32(twice) % words.hashed)
     test = documents(spark, [(0, twice.decode()), (1, once.decode()), (2, None), (2, twice.decode())]).select("doc_id", "text")
-    rows = pseudo_likelihood.apply_model(test, words, pseudo_likelihood.Network(size=words.size).weights).collect()
+    rows = pseudo_likelihood.apply_model(pseudo_likelihood.tokenize(test, words), words, pseudo_likelihood.Network(size=words.size).weights).collect()
     scores = sorted(r.log_likelihood for r in rows)
     assert scores[3] == 0 and scores[1] == scores[2] and scores[1] - scores[0] == pytest.approx(np.log(2))
 
@@ -395,8 +438,8 @@ def test_tokens_grow_with_the_corpus(spark):
     sizes = [pseudo_likelihood.vocabulary(d).size for d in (few, many)]
     assert sizes[0] == pseudo_likelihood.VOCABULARY and sizes[1] >= 4_500_000**0.5
     net = pseudo_likelihood.Network(size=sizes[1])
-    logs = net.log_probability(np.tile(np.array([[1, 2, 3, 4]]), (net.size, 1)), np.arange(net.size))
-    assert len(net.bases) == 3 and np.exp(logs.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+    logs = [net.log_probability(np.array([1, 2, t, 3, 4], dtype=np.int32))[0] for t in range(net.size)]
+    assert len(net.bases) == 3 and np.exp(np.array(logs, dtype=float)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_pipeline_stages(spark, tmp_path):
