@@ -4,15 +4,15 @@ Base findings (e-mail and IP addresses, card and phone numbers) come from patter
 positions are the running lengths of what it matches and of what lies between.
 
 Information-theoretic sanitisation then protects each found value, an entity.  A term (a run of
-letters) near an entity discloses it by  log2(P(entity | term) / P(entity))  bits, with
-probabilities over all documents: P(entity | term) is the share of the term's documents in which
-it stands near the entity.  Terms that disclose an entity by at least ``MIN_BITS`` bits, with at
-least ``GENERALISE`` percent of their documents and ``MIN_DOCS`` documents, are generalised
-where they stand near it, and removed from ``REMOVE`` percent on.
-
-``digest`` takes near as its SQL counterpart does, within ``NEAR`` code points.  ``sanitize`` takes
-the whole document: a term counts and is replaced wherever it stands in a document that holds the
-entity.
+letters that neither overlaps nor touches an e-mail address) discloses an entity by
+log2(P(entity | term) / P(entity))  bits, with probabilities over all documents, and both may
+stand anywhere in a document.  Terms that disclose an entity by at least ``MIN_BITS`` bits, with at
+least ``GENERALISE`` percent of their documents and ``MIN_DOCS`` documents, are generalised wherever
+they stand in a document with it, and removed from ``REMOVE`` percent on.
+
+By these thresholds neither an entity nor a term of a pair stands in more than one of 2**MIN_BITS
+documents, so no such key is hot.  Entities that stand in the same documents are counted as one, and
+so are terms; copies of a document therefore don't multiply its entities by its terms.
 """
 
 from __future__ import annotations
@@ -35,26 +35,59 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": "+"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}+"
-#: Code points on each side of an entity that count as near; letters of a term at least.
-NEAR, MIN_LETTERS = 64, 3
+#: An e-mail address with the letters that touch it, or another run of letters.
+FREE_TERM = rf"\p{{L}}*?{PATTERNS['email']}\p{{L}}*+|\p{{L}}++"
+MIN_LETTERS = 3
 MIN_DOCS, MIN_BITS, GENERALISE, REMOVE = 3, 6, 50, 90
-#: Stands for each code point of a finding; a term beside it is part of a longer run of letters.
-MASK = "\ue000"
-FREE_TERM = rf"(?<![\p{{L}}{MASK}])\p{{L}}{{{MIN_LETTERS},}}+(?!{MASK})"
+#: Items of an array that are scanned together.
+CHUNK = 64
+#: Terms, by count and bytes, of which a list may be broadcast; a longer one is joined by a shuffle.
+BROADCAST_TERMS, BROADCAST_BYTES = 200_000, 8 << 20
 TERMS = "array<struct<start:int,end:int,kind:int,remove:boolean>>"
 SPAN = "struct<start:int,end:int,kind:int,hit:string>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it inside functions of arrays."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def chunks(items: Column) -> Column:
+    """The items of a (bound) array in arrays of CHUNK."""
+    none = F.filter(F.sequence(F.lit(0), F.lit(0)), lambda i: i < 0)
+    numbers = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int"))).otherwise(none)
+    return F.transform(numbers, lambda i: F.slice(items, i * CHUNK + 1, F.lit(CHUNK)))
+
+
+def running(values: Column, step, before: bool = False) -> Column:
+    """Running results of ``step`` from 0 over an array of ints; with ``before`` those before each item.
+
+    Appending copies an array, so that results are appended within chunks, and chunks' results in turn.
+    """
+    none = F.array().cast("array<int>")
+
+    def scan(items: Column, first: Column) -> Column:
+        grown = lambda a, v: F.struct(step(a["at"], v).alias("at"), F.array_append(a["out"], a["at"] if before else step(a["at"], v)).alias("out"))
+        return F.aggregate(items, F.struct(first.alias("at"), none.alias("out")), grown, lambda a: a["out"])
+
+    def through(parts: Column) -> Column:
+        totals = F.transform(parts, lambda c: F.aggregate(c, F.lit(0), step))
+        grown = lambda a, v: F.struct(step(a["at"], v).alias("at"), F.array_append(a["out"], a["at"]).alias("out"))
+        bases = F.aggregate(totals, F.struct(F.lit(0).alias("at"), none.alias("out")), grown, lambda a: a["out"])
+        return F.flatten(F.zip_with(parts, bases, scan))
+
+    return bound(values, lambda v: bound(chunks(v), through))
+
+
 def positions(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost matches that don't overlap: array of (start, end, kind, hit), code points, end exclusive."""
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    found = F.filter(pairs, lambda p: p["hit"].isNotNull())
-    empty = F.array().cast(f"array<{SPAN}>")
-    step = lambda a, p: F.struct(
-        (a["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("at"),
-        F.array_append(a["out"], F.struct((a["at"] + F.length(p["gap"])).alias("start"), (a["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("end"), F.lit(kind).alias("kind"), p["hit"].alias("hit"))).cast(f"array<{SPAN}>").alias("out"),
-    )
-    return F.aggregate(found, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+
+    def place(hits: Column) -> Column:
+        lengths = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+        spans = F.zip_with(running(lengths, lambda a, v: a + v), hits, lambda e, h: F.struct((e - F.length(h)).alias("start"), e.alias("end"), F.lit(kind).alias("kind"), h.alias("hit")))
+        return F.when(F.size(hits) > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
 
 
 def digits(text: Column) -> Column:
@@ -103,104 +136,58 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"].cast("string"), F.lit(":"), plain)
 
 
-def nearby(text: Column, spans: Column) -> Column:
-    """Terms near each finding that lie wholly within reach and outside all findings: array of (entity, term, start, end)."""
+def free_terms(text: Column) -> Column:
+    """Positions of the terms that neither overlap nor touch an e-mail address."""
+    return F.filter(positions(text, FREE_TERM, 4), lambda t: (F.length(t["hit"]) >= MIN_LETTERS) & ~t["hit"].contains("@"))
 
-    def side(span: Column, begin: Column, length: Column) -> Column:
-        cut = F.substring(text, begin + 1, length)
-        whole = F.filter(
-            positions(cut, TERM, 4),
-            lambda t: ((t["start"] > 0) | (begin == 0) | (begin == span["end"])) & ((t["end"] < length) | (begin + length == span["start"])) & (F.length(t["hit"]) >= MIN_LETTERS),
-        )
-        return F.transform(whole, lambda t: F.struct(entity(span).alias("entity"), t["hit"].alias("term"), (t["start"] + begin).alias("start"), (t["end"] + begin).alias("end")))
 
-    def around(span: Column) -> Column:
-        left = F.greatest(span["start"] - NEAR, F.lit(0))
-        return F.concat(side(span, left, span["start"] - left), side(span, span["end"], F.lit(NEAR)))
+def _sets(pairs: DataFrame, of: str, count: str) -> DataFrame:
+    """For each value of ``of`` the number of rows it stands in, and two hashes, by which values in the very same rows are known."""
+    return pairs.groupBy(of).agg(F.count("*").alias(count), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), "row")).alias("y"))
 
-    free = lambda t: ~F.exists(spans, lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"]))
-    return F.filter(F.flatten(F.transform(spans, around)), free)
 
-
-def findings(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: ``doc_id``, ``mark`` (hash of the text), ``spans`` (base findings), ``near``."""
-    text = F.coalesce(df[text_col], F.lit(""))
-    found = df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("mark"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    # A blank behind the text closes its last word, so that reach can be judged the same everywhere.
-    padded = F.concat("text", F.lit(" " * (NEAR + 1)))
-    none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")
-    return found.select("doc_id", "mark", "spans", F.when(F.size("spans") > 0, nearby(padded, F.col("spans"))).otherwise(none).alias("near"))
-
-
-def disclosing(found: DataFrame, df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``entity``, ``term``, ``remove``: which terms disclose which entities by the thresholds."""
-    n = found.count()
-    pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x"))
-    pairs = pairs.groupBy("x.entity", "x.term").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCS)
-    entities = found.select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    terms = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)))).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    known = pairs.join(entities, "entity").join(terms, "term")
-    return _disclosing(known, n)
-
-
-def _disclosing(known: DataFrame, n: int) -> DataFrame:
-    share = 100 * F.col("both")
-    bits = F.col("both").cast("double") * n >= F.lit(float(2**MIN_BITS)) * F.col("with_term") * F.col("with_entity")
-    return known.where((share >= GENERALISE * F.col("with_term")) & bits).select("entity", "term", (share >= REMOVE * F.col("with_term")).alias("remove"))
+def _small(terms: DataFrame) -> bool:
+    n, octets = terms.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    return n <= BROADCAST_TERMS and octets <= BROADCAST_BYTES
 
 
 def locate(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: ``doc_id``, ``mark``, ``spans`` (base findings) and ``terms``, an array of (start, end, kind, remove).
+    """One row per row of df: ``doc_id``, ``mark`` (hash of the text), ``spans`` (base findings) and ``terms``, an array of (start, end, kind, remove).
 
     A null text counts as an empty one.  Equal rows count as documents of their own and get equal
     spans; null ids are found like others; an empty table gives an empty table; further columns
     are left behind.
     """
-    found = materialize(findings(df, id_col=id_col, text_col=text_col))
-    flagged = disclosing(found, df, text_col)
-    near = found.select(F.col("doc_id").alias("__rl_id"), F.col("mark").alias("__rl_mark"), F.explode("near").alias("x")).select("__rl_id", "__rl_mark", "x.*")
-    hits = near.join(flagged, ["entity", "term"]).groupBy("__rl_id", "__rl_mark", "start", "end").agg(F.max("remove").alias("remove"))
-    terms = hits.groupBy("__rl_id", "__rl_mark").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
-    joined = found.join(terms, found["doc_id"].eqNullSafe(terms["__rl_id"]) & (found["mark"] == terms["__rl_mark"]), "left")
-    return joined.select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast(TERMS)).alias("terms"))
-
-
-def masked(text: Column, spans: Column) -> Column:
-    """The text with all findings masked, as long as before."""
-    plain = F.translate(text, MASK, " ")
-    step = lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(
-        F.struct(s["end"].alias("at"), F.array_append(F.array_append(a["out"], F.substring(plain, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)))), F.repeat(F.lit(MASK), s["end"] - F.greatest(s["start"], a["at"]))).alias("out")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(spans, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(plain, a["at"] + 1, F.length(plain))))
-
-
-def locate_anywhere(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """What :func:`locate` gives, with all of a document near each of its findings."""
     text = F.coalesce(df[text_col], F.lit(""))
     found = df.select(df[id_col].alias("doc_id"), F.xxhash64(df[text_col]).alias("mark"), text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    found = found.withColumn("row", F.monotonically_increasing_id()).withColumn("text", F.when(F.size("spans") > 0, masked(F.col("text"), F.col("spans"))))
-    found = materialize(found)
+    found = materialize(found.withColumn("row", F.monotonically_increasing_id()).withColumn("text", F.when(F.size("spans") > 0, F.col("text"))))
     n = found.count()
     # As no term stands with an entity in more documents than it or the entity has, only these can pass the thresholds.
     possible = lambda c: (F.col(c) >= MIN_DOCS) & (F.col(c) * 2**MIN_BITS <= n)
     held = found.select("row", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
-    entities = held.groupBy("entity").agg(F.count("*").alias("with_entity")).where(possible("with_entity"))
-    held = materialize(held.join(entities, "entity"))
-    terms = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)))).alias("term")).where(F.length("term") >= MIN_LETTERS)
-    terms = terms.groupBy("term").agg(F.count("*").alias("with_term")).where(possible("with_term"))
-    free = found.join(held.select("row").distinct(), "row").select("row", F.regexp_extract_all("text", F.lit(FREE_TERM), F.lit(0)).alias("hits"), F.split("text", FREE_TERM, -1).alias("gaps"))
-    met = materialize(free.select("row", F.explode(F.array_distinct("hits")).alias("term")).join(terms, "term"))
-    entities_of = held.groupBy("row").agg(F.collect_list(F.struct("entity", "with_entity")).alias("held"))
-    pairs = met.join(entities_of, "row").select("term", "with_term", F.inline("held"))
-    pairs = pairs.groupBy("entity", "term", "with_term", "with_entity").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCS)
-    flagged = materialize(_disclosing(pairs, n))
-    # Flagged terms of each document, then all places of theirs.
-    wanted = held.join(flagged, "entity").join(met.select("row", "term"), ["row", "term"]).groupBy("row", "term").agg(F.max("remove").alias("remove"))
-    wanted = materialize(wanted)
-    runs = free.join(wanted.select("row").distinct(), "row").select("row", F.posexplode(F.arrays_zip("gaps", "hits"))).where("col.hits is not null")
-    ends = F.sum(F.length("col.gaps") + F.length("col.hits")).over(Window.partitionBy("row").orderBy("pos")).cast("int")
-    placed = runs.select("row", F.col("col.hits").alias("term"), ends.alias("end")).join(wanted, ["row", "term"])
-    spots = placed.groupBy("row").agg(F.sort_array(F.collect_list(F.struct((F.col("end") - F.length("term")).alias("start"), "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
+    entities = _sets(held, "entity", "with_entity").where(possible("with_entity")).groupBy("x", "y", "with_entity").agg(F.min("entity").alias("entity"))
+    # One of the entities that stand in the same documents is enough: what discloses it discloses all of them.
+    held = materialize(held.join(entities.select("entity", "with_entity"), "entity"))
+    met = found.join(held.select("row").distinct(), "row").select("row", F.explode(F.array_distinct(F.transform(free_terms(F.col("text")), lambda t: t["hit"]))).alias("term"))
+    met = materialize(met)
+    # Terms are counted in documents with such entities first, and only those that may pass in all documents.
+    sets = materialize(_sets(met, "term", "here").where(possible("here")))
+    names = F.broadcast(sets.select("term")) if _small(sets) else sets.select("term")
+    everywhere = df.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)))).alias("term")).join(names, "term", "left_semi")
+    counts = everywhere.groupBy("term").agg(F.count("*").alias("with_term")).where(possible("with_term"))
+    terms = sets.join(counts, "term").where(100 * F.col("here") >= GENERALISE * F.col("with_term"))
+    leads = terms.groupBy("x", "y", "here", "with_term").agg(F.min("term").alias("lead"))
+    terms = materialize(terms.join(leads, ["x", "y", "here", "with_term"]).select("term", "lead", "with_term"))
+    first = materialize(met.join(terms.where("term = lead").select("term", "with_term"), "term"))
+    pairs = first.join(held, "row").groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("both")).where(F.col("both") >= MIN_DOCS)
+    share = 100 * F.col("both")
+    bits = F.col("both").cast("double") * n >= F.lit(float(2**MIN_BITS)) * F.col("with_term") * F.col("with_entity")
+    flagged = pairs.where((share >= GENERALISE * F.col("with_term")) & bits).select("entity", "term", (share >= REMOVE * F.col("with_term")).alias("remove"))
+    # Documents with a flagged pair, and in these all places of all terms that stand for its term.
+    wanted = first.select("row", "term").join(held.select("row", "entity"), "row").join(materialize(flagged), ["entity", "term"]).groupBy("row", "term").agg(F.max("remove").alias("remove"))
+    wanted = materialize(wanted.select("row", F.col("term").alias("lead"), "remove").join(terms.select("term", "lead"), "lead").select("row", "term", "remove"))
+    spots = found.join(wanted.select("row").distinct(), "row").select("row", F.explode(free_terms(F.col("text"))).alias("t")).select("row", F.col("t.hit").alias("term"), "t.start", "t.end")
+    spots = spots.join(wanted, ["row", "term"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.lit(4).alias("kind"), "remove"))).alias("terms"))
     return found.join(spots, "row", "left").select("doc_id", "mark", "spans", F.coalesce("terms", F.array().cast(TERMS)).alias("terms"))
 
 
@@ -223,7 +210,7 @@ def sanitize(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
     """df with sanitised texts: base findings become their kind in brackets, and wherever they stand
     in a document with an entity that they disclose, generalised terms ``[TERM]``, removed terms nothing.  Of overlapping spans the first one's mark stands for all.
     A null text stays null.  All rows and columns stay; ``count_col`` is counted again."""
-    found = locate_anywhere(df, id_col=id_col, text_col=text_col)
+    found = locate(df, id_col=id_col, text_col=text_col)
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     cover = F.sort_array(F.concat(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.get(marks, s["kind"]).alias("by"))),
@@ -231,17 +218,29 @@ def sanitize(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
     ))
     changes = found.where("size(spans) + size(terms) > 0").select(F.col("doc_id").alias("__rl_id"), F.col("mark").alias("__rl_mark"), cover.alias("__rl_cover")).dropDuplicates(["__rl_id", "__rl_mark"])
     joined = df.join(changes, df[id_col].eqNullSafe(changes["__rl_id"]) & (F.xxhash64(df[text_col]) == changes["__rl_mark"]), "left")
-    text = F.col(text_col)
-    step = lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(
-        F.struct(s["end"].alias("at"), F.array_append(F.array_append(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"])), s["by"]).alias("out")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.aggregate("__rl_cover", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
-    result = joined.withColumn(text_col, F.when(F.col("__rl_cover").isNotNull(), clean).otherwise(text))
+    result = joined.withColumn(text_col, F.when(F.col("__rl_cover").isNotNull(), replaced(F.col(text_col), F.col("__rl_cover"))).otherwise(F.col(text_col)))
     if count_col in df.columns:
         result = result.withColumn(count_col, F.when(F.col("__rl_cover").isNotNull(), F.length(text_col).cast(df.schema[count_col].dataType)).otherwise(F.col(count_col)))
     return result.select(*df.columns)
 
 
+def replaced(text: Column, cover: Column) -> Column:
+    """The text with each span (start, end, by; sorted by start) replaced; of overlapping ones the first one's ``by`` stands for all."""
+    ends = F.transform(cover, lambda s: s["end"])
+    # Each span that begins at or behind all ends before it, with what lies in between.
+    placed = F.zip_with(cover, running(ends, lambda a, v: F.greatest(a, v), before=True), lambda s, a: F.struct(a.alias("from"), s["start"].alias("to"), s["by"].alias("by")))
+    heads = F.filter(placed, lambda s: s["to"] >= s["from"])
+
+    # Cutting walks through the text, so it is cut for each chunk first and within chunks then.
+    def written_out(part: Column) -> Column:
+        origin = F.get(part, 0)["from"]
+        whole = F.substring(text, origin + 1, F.element_at(part, -1)["to"] - origin)
+        return bound(whole, lambda t: F.array_join(F.transform(part, lambda s: F.concat(F.substring(t, s["from"] - origin + 1, s["to"] - s["from"]), s["by"])), ""))
+
+    last = F.array_max(ends)
+    return F.concat(bound(heads, lambda h: F.array_join(F.transform(chunks(h), written_out), "")), F.substring(text, last + 1, F.length(text)))
+
+
 ORACLE = r"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 patterns(kind, name, pattern) AS (VALUES
@@ -260,19 +259,14 @@ base AS (
     WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda k:
       CASE WHEN k % 2 = 1 THEN digits[-k]::INT ELSE digits[-k]::INT * 2 % 10 + (digits[-k]::INT >= 5)::INT END)) % 10 = 0
     ELSE length(digits) BETWEEN 9 AND 15 END),
-sides AS (
-  SELECT rid, entity, greatest(s - 64, 0) AS origin, substr(t, greatest(s - 64, 0) + 1, s - greatest(s - 64, 0)) AS near, true AS before FROM base JOIN docs USING (rid)
-  UNION ALL SELECT rid, entity, e, substr(t || repeat(' ', 65), e + 1, 64), false FROM base JOIN docs USING (rid)),
-halves AS (SELECT row_number() OVER () AS side, * FROM sides),
 runs AS (
-  SELECT side, rid, entity, origin, before, unnest(regexp_extract_all(near, '\p{L}+')) AS term, unnest(string_split_regex(near, '\p{L}+')[:len(regexp_extract_all(near, '\p{L}+'))]) AS gap,
-    generate_subscripts(regexp_extract_all(near, '\p{L}+'), 1) AS i FROM halves),
-ended AS (SELECT *, sum(length(gap) + length(term)) OVER (PARTITION BY side ORDER BY i)::BIGINT AS b FROM runs),
-terms AS (
-  SELECT rid, entity, term, origin + b - length(term) AS s, origin + b AS e FROM ended
-  WHERE length(term) >= 3 AND CASE WHEN before THEN b > length(term) OR origin = 0 ELSE b < 64 END),
-free AS (SELECT * FROM terms x WHERE NOT EXISTS (SELECT 1 FROM base o WHERE o.rid = x.rid AND x.s < o.e AND o.s < x.e)),
-pairs AS (SELECT entity, term, count(DISTINCT rid) AS n_both FROM free GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+  SELECT rid, unnest(hits) AS term, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i
+  FROM (SELECT rid, regexp_extract_all(t, '\p{L}+') AS hits, string_split_regex(t, '\p{L}+') AS gaps FROM docs SEMI JOIN base USING (rid)) WHERE len(hits) > 0),
+ended AS (SELECT *, sum(length(gap) + length(term)) OVER (PARTITION BY rid ORDER BY i)::BIGINT AS e FROM runs),
+terms AS (SELECT rid, term, e - length(term) AS s, e FROM ended WHERE length(term) >= 3),
+free AS (SELECT * FROM terms x WHERE NOT EXISTS (SELECT 1 FROM base o WHERE o.rid = x.rid AND o.kind = 0 AND x.s <= o.e AND o.s <= x.e)),
+held AS (SELECT DISTINCT rid, entity FROM base),
+pairs AS (SELECT entity, term, count(*) AS n_both FROM (SELECT DISTINCT rid, term FROM free) JOIN held USING (rid) GROUP BY ALL HAVING count(*) >= 3),
 with_entity AS (SELECT entity, count(DISTINCT rid) AS n_entity FROM base GROUP BY ALL),
 with_term AS (
   SELECT term, count(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all(t, '\p{L}+'))) AS term FROM docs) SEMI JOIN pairs USING (term) GROUP BY ALL),
@@ -281,7 +275,7 @@ disclosing AS (
   WHERE 100 * n_both >= 50 * n_term AND n_both * (SELECT count(*) FROM docs) >= 64 * n_term * n_entity),
 everything AS (
   SELECT b.rid, b.kind, p.name, b.s, b.e FROM base b JOIN patterns p USING (kind)
-  UNION ALL SELECT DISTINCT rid, 4, 'term', s, e FROM free JOIN disclosing USING (entity, term)),
+  UNION ALL SELECT DISTINCT rid, 4, 'term', s, e FROM free JOIN held USING (rid) JOIN disclosing USING (entity, term)),
 written AS (
   SELECT rid, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone,
     string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) FILTER (kind < 4) AS own, string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind, e) AS spans

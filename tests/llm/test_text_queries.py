@@ -29,7 +29,7 @@ def test_disclosing_terms_match_sql(spark, tmp_path):
     letters = "abcdefghij"
     filler = [f"plain words {''.join(letters[int(c)] for c in str(i))} in row {i}" for i in range(1000)]
     held = ["Ask Zébulon Quimby: ZQ@example.org, or +1 (555) 010-9999 now", "zq@example.org belongs to Quimby", "Quimby, Zébulon (zq@EXAMPLE.org) 10.0.0.1", "see zq@example.org\nQuimby again"]
-    texts = [*filler, *held, *held[:2], "Zébulon alone", None, "", "x " * 60 + "Quimby " + "y " * 20 + "zq@example.org"]
+    texts = [*filler, *held, *held[:2], "Zébulon alone", None, "", "x " * 60 + "Quimby " + "y " * 20 + "zq@example.org", "Quimby éQuimby@x.org a@b.orgQuimby zq@example.org. éa@b.c_d@e.f.gé Quimby"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     db = duckdb.connect()
