@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+#: Rows of some keys that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:

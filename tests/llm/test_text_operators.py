@@ -272,6 +272,25 @@ def brute_spans(text):
     return ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
 
 
+def test_thousands_of_findings_in_one_text(spark):
+    texts = [" ".join(f"write{'é' * (i % 2)} m{i}@x.se, 10.0.{i % 300}.7 +46 70 123 {1000 + i} 4111 1111 1111 1111{'.' * (i % 3)}" for i in range(n)) for n in (1, 64, 65, 3000)]
+    docs = documents(spark, list(enumerate(texts)))
+    for r in pii.digest(docs).collect():
+        assert r.spans == brute_spans(texts[r.doc_id])
+    for r in pii.sanitize(docs).collect():
+        assert r.text == brute_replaced(texts[r.doc_id])
+
+
+def brute_replaced(text):
+    out, at = [], 0
+    for span in filter(None, brute_spans(text).split(",")):
+        kind, a, b = span.split(":")
+        if int(a) >= at:
+            out += [text[at : int(a)], f"[{kind.upper()}]"]
+        at = max(at, int(b))
+    return "".join([*out, text[at:]])
+
+
 def test_disclosing_terms(spark):
     rows = [(i, f"write to Kvastberg at bo@x.se {prose(i, 20)}") for i in range(5)] + [(100 + i, f"write to them at home {prose(i, 20)}") for i in range(400)]
     docs = documents(spark, rows)
@@ -322,9 +341,45 @@ def test_mixture(spark):
     assert sum(len(r.text.split()) for r in mixed) == sum(r.taken for r in got)
 
 
+def test_the_mix_goes_by_the_schedule(spark):
+    # Sources of very different sizes: any stretch of the output, not only the whole, has the target mix.
+    rows = [(i, prose(i, 40 + i % 30), "a" if i < 900 else "b" if i < 1300 else "c") for i in range(1400)]
+    docs = documents(spark, rows)
+    out = [(r.source, len(r.text.split())) for r in mixing.mixed_documents(docs).collect()]
+    whole = collections.Counter()
+    for source, n in out:
+        whole[source] += n
+    for at in range(0, len(out) - 300, 100):
+        met = collections.Counter()
+        for source, n in out[at : at + 300]:
+            met[source] += n
+        assert all(abs(met[s] / met.total() - whole[s] / whole.total()) < 0.06 for s in "abc")
+    # Slots of the documents ascend in the output.
+    slot = {r.doc_id: r.first_slot for r in mixing.mix(docs).collect()}
+    first = {}
+    for k, r in enumerate(mixing.mixed_documents(docs).collect()):
+        first.setdefault(r.doc_id, k)
+    order = [slot[i] for i in sorted(first, key=first.get)]
+    assert order == sorted(order) and set(first) == {i for i, s in slot.items() if s is not None}
+
+
+def test_mixed_rows_keep_their_columns(spark):
+    rows = [(1, "alpha beta", "en", "s", 10), (1, "alpha beta", "fr", "s", 10), (1, "alpha beta", "fr", "s", 10), (None, "alpha beta", None, "s", None), (None, "alpha beta", "de", "s", 1)]
+    rows += [(None, "same words here", "xx", "s", 3)] * 50 + [(7, "", "en", "s", 0), (8, None, "en", "s", None), (9, "other text", "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.mixed_documents(docs, block=1)
+    assert mixed.columns == docs.columns
+    # One source takes all that it has, so each row with words comes once, as it was.
+    assert collections.Counter(tuple(r) for r in mixed.collect()) == collections.Counter(r for r in rows if r[1])
+
+
+def test_blocks_grow_with_the_mix():
+    assert [mixing.block_words(n) for n in (0, 1, 2**26 - 1, 2**28, 2**29, 15 * 10**12)] == [64, 64, 64, 128, 128, 4096]
+
+
 def test_chunks_of_the_schedule_do_not_change_ranks(spark, monkeypatch):
     planned = mixing.plan(documents(spark, [(i, prose(i, 64), "aab"[i % 3]) for i in range(400)]).select("source", F.lit(64).cast("long").alias("size")))
-    ranks = lambda: sorted(tuple(r) for r in mixing.slots(planned).select("slot", "source", "rank").collect())
+    ranks = lambda: sorted(tuple(r) for r in mixing.slots(planned, 400 * 64, 64).select("slot", "source", "rank").collect())
     whole = ranks()
     monkeypatch.setattr(mixing, "CHUNK", 4)
     assert ranks() == whole and len({c for c, _, _ in whole}) > 16
@@ -333,7 +388,7 @@ def test_chunks_of_the_schedule_do_not_change_ranks(spark, monkeypatch):
 def test_schedule_is_even(spark):
     rows = [(i, prose(i, 64), "ab"[i % 2]) for i in range(200)]
     planned = mixing.plan(documents(spark, rows).select("source", F.lit(64).cast("long").alias("size")))
-    got = [r.source for r in mixing.slots(planned, 16).orderBy("slot").collect()]
+    got = [r.source for r in mixing.slots(planned, 200 * 64, 16).orderBy("slot").collect()]
     share = got.count("a") / len(got)
     for n in range(50, len(got), 50):
         assert abs(got[:n].count("a") / n - share) < 0.1
