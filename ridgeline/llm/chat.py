@@ -33,10 +33,10 @@ def prefixes(turns: DataFrame) -> DataFrame:
 def maximal(turns: DataFrame) -> DataFrame:
     """``conv_id`` of the conversations that no other one continues or, with a smaller id, repeats."""
     found = materialize(prefixes(turns))
-    last = found.where("place = n").select("conv_id", "place", "p", "q")
+    # Equal conversations become one, and so do equal prefixes, before they are moved; each key is one row on both sides.
+    last = found.where("place = n").groupBy("place", "p", "q").agg(F.min("conv_id").alias("conv_id"))
     proper = found.where("place < n").select("place", "p", "q").distinct()
-    longest = last.join(proper, ["place", "p", "q"], "left_anti")
-    return longest.groupBy("place", "p", "q").agg(F.min("conv_id").alias("conv_id")).select("conv_id")
+    return last.join(proper, ["place", "p", "q"], "left_anti").select("conv_id")
 
 
 def render(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -44,8 +44,11 @@ def render(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
 
     Turns go by number, nulls last, ties by role and then text.  A null role is rendered as
     ``unknown`` and a null text as an empty one, though both differ from those in comparisons.
-    Rows without a conversation id belong to no conversation.  Repeated rows are turns of their
-    own.  An empty table gives an empty table; further columns are left behind.
+    Texts are rendered as they are, so a text may hold the markers that open and close a turn:
+    tokenize rendered conversations turn by turn, or with those markers as plain text, wherever
+    texts aren't trusted.  Rows without a conversation id belong to no conversation.  Repeated rows are turns of their
+    own.  A conversation is one text in the end, so its turns meet in one row.  An empty table gives an
+    empty table; further columns are left behind.
     """
     turns = df.select(df[conv_col].alias("conv_id"), df[turn_col].alias("turn"), df[role_col].alias("role"), df[text_col].alias("text")).where("conv_id is not null")
     kept = turns.join(maximal(turns).withColumnRenamed("conv_id", "kept_id"), F.col("conv_id") == F.col("kept_id"), "left_semi")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.operators.storage import delete_at_exit, materialize, release
+from ridgeline.operators.storage import shared_folder as shared_dir
+
+__all__ = ["BROADCAST_ROWS", "GAP", "SPACES", "WORD", "delete_at_exit", "materialize", "only", "release", "shared_dir", "table", "word_count", "words"]
+
 #: The characters that separate words: blank, tab, newline, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,36 +29,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the cluster's spark.checkpoint.dir, or one of our own where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", uuid.uuid4().hex)
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cuts the lineage: writes df once to the shared folder, so that several readers don't compute it again
-    and a lost executor costs a read, not a recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def delete_at_exit(spark: SparkSession, folder: str) -> None:
-    """Removes a shared folder when this process ends."""
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def remove() -> None:
-        try:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(hadoop).delete(path, True)
-        except Exception:  # the session is gone already; the cluster clears its own shared folder
-            pass
-
-    atexit.register(remove)
-
-
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns alone (new name = source column), so that further columns of df can't clash."""
     return df.select(*[df[source].alias(name) for name, source in columns.items()])

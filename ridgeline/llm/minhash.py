@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import materialize
+from ridgeline.llm.common import materialize, release
 
 ROWS = 4
 BAND_MISS, MISS = 1e-6, 1e-5
@@ -221,7 +221,8 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: smaller neighbours and the node itself move to the smallest one.
         small = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         moved = large.join(small, F.col("u") == F.col("w")).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        edges = materialize(moved)
+        last, edges = edges, materialize(moved)
+        release(last)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
