@@ -29,52 +29,129 @@ def fill_round(cells: DataFrame, value: str) -> DataFrame:
     return total.select("tile", "rows", "cols", "row", "col", F.coalesce("own", F.col("s") / F.col("w")).alias(value))
 
 
-def fill_gaps(cells: DataFrame, value: str, rounds: int = 5) -> DataFrame:
-    """``rounds`` simultaneous rounds of :func:`fill_round`, then :func:`fill_nearest`; all cells of a tile with any data have a value."""
+def fill_gaps(cells: DataFrame, value: str, rounds: int = 5, block: int = 512) -> DataFrame:
+    """``rounds`` simultaneous rounds of :func:`fill_round`, then :func:`fill_nearest`; all cells of a tile with any data have a value.
+
+    Cells are dealt to blocks once, with as many cells around each as there are rounds, and all rounds
+    are made there.
+    """
+    import json
+
+    kinds = {f.name: f.dataType.simpleString() for f in cells.schema}
+    out = f"tile {kinds['tile']}, rows {kinds['rows']}, cols {kinds['cols']}, row {kinds['row']}, col {kinds['col']}, {value} double"
+    present = cells.where(F.col(value).isNotNull()).withColumn("size", F.to_json(F.struct("rows", "cols")))
+
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        _, size, brow, bcol = key
+        rows, cols = (json.loads(size)[k] for k in ("rows", "cols"))
+        top, left = max(0, brow * block - rounds), max(0, bcol * block - rounds)
+        grid = np.full((min(rows, (brow + 1) * block + rounds) - top, min(cols, (bcol + 1) * block + rounds) - left), np.nan)
+        grid[part["row"] - top, part["col"] - left] = part[value].astype(float)
+        grid = grow(grid, rounds)
+        r, c = np.nonzero(~np.isnan(grid))
+        own = ((r + top) // block == brow) & ((c + left) // block == bcol)
+        r, c = r[own], c[own]
+        return pd.DataFrame({"tile": key[0], "rows": rows, "cols": cols, "row": r + top, "col": c + left, value: grid[r, c]})
+
+    dealt = halo_blocks(present, value, block, rounds, "size").where(F.col("brow") >= 0).where(F.col("bcol") >= 0)
+    filled = dealt.groupBy("tile", "size", "brow", "bcol").applyInPandas(run, out)
+    return fill_nearest(filled, value)
+
+
+def grow(grid: np.ndarray, rounds: int) -> np.ndarray:
+    """Rounds in which each empty cell with a neighbour becomes the mean of its 3 x 3 window; the edge repeats beyond the border."""
     for _ in range(rounds):
-        cells = fill_round(cells, value)
-    return fill_nearest(cells, value)
+        empty = np.isnan(grid)
+        if not empty.any():
+            break
+        padded = np.pad(grid, 1, mode="edge")
+        full = ~np.isnan(padded)
+        padded[~full] = 0
+        h, w = grid.shape
+        shifts = [(slice(r, r + h), slice(c, c + w)) for r in range(3) for c in range(3)]
+        total, count = sum(padded[x] for x in shifts), sum(full[x].astype(int) for x in shifts)
+        grid = np.where(empty & (count > 0), total / np.maximum(count, 1), grid)
+    return grid
+
+
+#: Columns of a tile that :func:`fill_nearest` looks up and down together.
+STRIP = 64
 
 
 def fill_nearest(cells: DataFrame, value: str) -> DataFrame:
-    """What :func:`nearest` does to a whole grid, in rows and then in columns of it.
+    """What :func:`nearest` does to a whole grid, in rows and then in strips of columns of it.
 
     In each row every column gets the row's nearest cell with data; in each column every row then
-    takes the nearest of those, looking as far up and down as the best one so far is away.
-    Columns: tile, rows, cols, row, col, value.
+    takes the nearest of those.  Columns: tile, rows, cols, row, col, value.
     """
     schema = cells.where(F.col(value).isNotNull()).select("tile", "rows", "cols", "row", "col", F.col(value).cast("double").alias(value))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.schema)
 
     def along(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("col")
-        have, own, cols = part["col"].to_numpy(), part[value].to_numpy(), np.arange(part["cols"].iloc[0])
-        at = np.searchsorted(have, cols)
-        left, right = np.maximum(at - 1, 0), np.minimum(at, len(have) - 1)
-        take = np.where(np.abs(cols - have[left]) <= np.abs(have[right] - cols), left, right)
-        first = part.iloc[0]
-        return pd.DataFrame({"tile": first["tile"], "rows": first["rows"], "cols": first["cols"], "row": first["row"], "col": cols, value: own[take], "away": np.abs(cols - have[take])})
+        part, first = part.sort_values("col"), part.iloc[0]
+        have, cols = part["col"].to_numpy(), np.arange(int(first["cols"]))
+        take = _nearest_in_row(have, len(cols))
+        return pd.DataFrame({"tile": first["tile"], "rows": first["rows"], "cols": first["cols"], "row": first["row"], "col": cols, value: part[value].to_numpy()[take], "away": np.abs(cols - have[take])})
 
     def across(part: pd.DataFrame) -> pd.DataFrame:
-        first = part.iloc[0]
-        n, far = int(first["rows"]), np.iinfo(np.int64).max // 4
-        away, own = np.full(n, far), np.full(n, np.nan)
-        away[part["row"]], own[part["row"]] = part["away"].to_numpy(dtype=np.int64) ** 2, part[value]
-        best, source = away.copy(), np.arange(n)
-        k = 1
-        while k < n and k * k <= best.max():
-            # The row above goes first among equally near ones, the one below only if it is nearer.
-            up = away[:-k] + k * k
-            better = (up < best[k:]) | ((up == best[k:]) & (np.arange(n - k) < source[k:]))
-            best[k:], source[k:] = np.where(better, up, best[k:]), np.where(better, np.arange(n - k), source[k:])
-            down = away[k:] + k * k
-            better = down < best[:-k]
-            best[:-k], source[:-k] = np.where(better, down, best[:-k]), np.where(better, np.arange(k, n), source[:-k])
-            k += 1
-        return pd.DataFrame({"tile": first["tile"], "rows": n, "cols": first["cols"], "row": np.arange(n), "col": first["col"], value: own[source]})
-
-    wide = schema.groupBy("tile", "row").applyInPandas(along, f"{kinds}, away long")
-    return wide.groupBy("tile", "col").applyInPandas(across, kinds)
+        first, n = part.iloc[0], int(part["rows"].iloc[0])
+        have, at = np.unique(part["row"], return_inverse=True)
+        left, width = int(part["col"].min()), int(part["col"].max() - part["col"].min()) + 1
+        away, own = np.empty((len(have), width), dtype=np.int64), np.empty((len(have), width))
+        away[at, part["col"] - left], own[at, part["col"] - left] = part["away"] ** 2, part[value]
+        source = _lowest(away, have, n)
+        r, c = (x.ravel() for x in np.indices((n, width)))
+        return pd.DataFrame({"tile": first["tile"], "rows": n, "cols": first["cols"], "row": r, "col": c + left, value: own[source[r, c], c]})
+
+    wide = schema.groupBy("tile", "row").applyInPandas(along, f"{kinds}, away long").withColumn("strip", F.expr(f"col div {STRIP}"))
+    return wide.groupBy("tile", "strip").applyInPandas(lambda part: across(part), kinds)
+
+
+def _nearest_in_row(have: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the number of the nearest of the ascending places that have data, the smaller of two equally near."""
+    places = np.arange(n)
+    at = np.searchsorted(have, places)
+    left, right = np.maximum(at - 1, 0), np.minimum(at, len(have) - 1)
+    return np.where(np.abs(places - have[left]) <= np.abs(have[right] - places), left, right)
+
+
+def _lowest(height: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows and each column the number k for which height[k] + (row - rows[k])**2 is least, the smallest of equal ones.
+
+    The least of parabolas is kept as a stack for each column: which ones show, and from which row on.
+    A later one shows from the first row in which it is strictly less, and hides those that would show
+    later still.  Every parabola is pushed and popped once, so the work goes by the cells.
+    """
+    k_rows, width = height.shape
+    columns = np.arange(width)
+    lifted = height + (rows.astype(np.int64) ** 2)[:, None]
+    stack, since = np.zeros((k_rows, width), dtype=np.int64), np.zeros((k_rows, width), dtype=np.int64)
+    top = np.full(width, -1)
+
+    def shows(k: int, over: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (lifted[k, at] - lifted[over, at]) // (2 * (rows[k] - rows[over])) + 1
+
+    for k in range(k_rows):
+        first, left = np.zeros(width, dtype=np.int64), columns if k else columns[:0]
+        while len(left):
+            start = shows(k, stack[top[left], left], left)
+            hidden = start <= since[top[left], left]
+            first[left[~hidden]] = start[~hidden]
+            top[left[hidden]] -= 1
+            left = left[hidden]
+            first[left[top[left] < 0]] = 0
+            left = left[top[left] >= 0]
+        top += 1
+        stack[top, columns], since[top, columns] = k, np.maximum(first, 0)
+    out, at = np.empty((n, width), dtype=np.int64), np.zeros(width, dtype=np.int64)
+    for r in range(n):
+        left = columns
+        while len(left):
+            more = left[(at[left] < top[left])]
+            left = more[since[at[more] + 1, more] <= r]
+            at[left] += 1
+        out[r] = stack[at, columns]
+    return out
 
 
 def dilate(cells: DataFrame, rounds: int = 1) -> DataFrame:
@@ -108,17 +185,21 @@ def hillshade(cells: DataFrame, value: str, res: float = 1.0, azimuth: float = 3
 
 
 def nearest(grid: np.ndarray) -> np.ndarray:
-    """Empty cells take the nearest cell with data; of equally near ones the smallest row, then column.  All empty: stays empty."""
-    empty = np.isnan(grid)
-    if empty.all() or not empty.any():
+    """Empty cells take the nearest cell with data; of equally near ones the smallest row, then column.  All empty: stays empty.
+
+    An exact distance transform in two passes, first along rows and then along columns.
+    """
+    full = ~np.isnan(grid)
+    if not full.any() or full.all():
         return grid
-    full = np.argwhere(~empty)
-    values, out = grid[~empty], grid.copy()
-    for at in range(0, int(empty.sum()), 1024):
-        gaps = np.argwhere(empty)[at : at + 1024]
-        d = ((gaps[:, None, :] - full[None, :, :]) ** 2).sum(axis=2)
-        out[tuple(gaps.T)] = values[d.argmin(axis=1)]
-    return out
+    rows = np.flatnonzero(full.any(axis=1))
+    columns = np.arange(grid.shape[1])
+    near = np.empty((len(rows), len(columns)), dtype=np.int64)
+    for k, r in enumerate(rows):
+        have = np.flatnonzero(full[r])
+        near[k] = have[_nearest_in_row(have, len(columns))]
+    source = _lowest((near - columns) ** 2, rows, len(grid))
+    return grid[rows[source], near[source, columns]]
 
 
 def gaussian(grid: np.ndarray, sigma: float) -> np.ndarray:
@@ -156,12 +237,12 @@ def map_blocks(blocks: DataFrame, kernel, schema: str, height: int, width: int)
     return blocks.select("id", "data").mapInPandas(run, schema)
 
 
-def halo_blocks(cells: DataFrame, value: str, block: int, halo: int) -> DataFrame:
-    """Cells dealt to every block whose halo they lie in: ``tile``, ``brow``, ``bcol``, ``row``, ``col``, value, ``inside``."""
+def halo_blocks(cells: DataFrame, value: str, block: int, halo: int, *others: str) -> DataFrame:
+    """Cells dealt to every block whose halo they lie in: ``tile``, ``brow``, ``bcol``, ``row``, ``col``, value, ``inside`` and other columns."""
     span = lambda c: F.sequence(F.floor((F.col(c) - halo) / block).cast("int"), F.floor((F.col(c) + halo) / block).cast("int"))
     dealt = cells.withColumn("brow", F.explode(span("row"))).withColumn("bcol", F.explode(span("col")))
     inside = (F.col("brow") == F.floor(F.col("row") / block)) & (F.col("bcol") == F.floor(F.col("col") / block))
-    return dealt.select("tile", "brow", "bcol", "row", "col", F.col(value).alias(value), inside.alias("inside"))
+    return dealt.select("tile", "brow", "bcol", "row", "col", F.col(value).alias(value), inside.alias("inside"), *others)
 
 
 def relief_blocks(cells: DataFrame, value: str, sigma: float, limit: float = 3.0, block: int = 4096) -> DataFrame:

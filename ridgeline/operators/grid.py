@@ -43,8 +43,20 @@ def surfaces(points: DataFrame, res: float = 1.0) -> DataFrame:
 
 def canopy(dsm: Column, dtm: Column) -> Column:
     """Height above ground: nothing below zero, and nothing under half a metre; null where either surface is."""
-    height = F.when(dsm.isNotNull() & dtm.isNotNull(), F.greatest(dsm - dtm, F.lit(0.0)))
-    return F.when(height < CANOPY_FLOOR, 0.0).otherwise(height)
+    return height_of(dsm - dtm)
+
+
+def height_of(difference: Column) -> Column:
+    """What counts as canopy of a difference of surfaces: nothing below zero, and nothing under half a metre."""
+    return F.when(difference < CANOPY_FLOOR, 0.0).otherwise(difference)
+
+
+def filled_canopy(cells: DataFrame) -> DataFrame:
+    """Canopy height of all cells of each tile: the difference of the surfaces, where both are, with its gaps filled."""
+    from ridgeline.operators.focal import fill_gaps
+
+    difference = cells.select("tile", "rows", "cols", "row", "col", (F.col("dsm") - F.col("dtm")).alias("chm"))
+    return fill_gaps(difference, "chm").withColumn("chm", height_of(F.col("chm")))
 
 
 def overview(cells: DataFrame, factor: int, *values: str) -> DataFrame:
@@ -53,6 +65,25 @@ def overview(cells: DataFrame, factor: int, *values: str) -> DataFrame:
     return cells.withColumns(coarse).groupBy("tile", "row", "col").agg(*[F.avg(v).alias(v) for v in values])
 
 
+def pyramid(cells: DataFrame, value: str, factors: tuple[int, ...] = (2, 4, 8, 16, 32, 64, 128, 256)) -> DataFrame:
+    """Overviews by each factor: ``factor``, ``tile``, ``row``, ``col`` and the mean of the cells with data.
+
+    Sums and counts roll up from factor to factor (each a multiple of the one before), so that each
+    level reads a fraction of the one before and every mean is that of the full grid's cells.
+    """
+    level = cells.where(F.col(value).isNotNull()).select("tile", "row", "col", F.col(value).cast("double").alias("s"), F.lit(1).cast("long").alias("n"))
+    out, before = None, 1
+    for factor in factors:
+        if factor % before:
+            raise ValueError("each factor must be a multiple of the one before")
+        step, before = factor // before, factor
+        coarse = {"row": F.floor(F.col("row") / step).cast("int"), "col": F.floor(F.col("col") / step).cast("int")}
+        level = level.withColumns(coarse).groupBy("tile", "row", "col").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        made = level.select(F.lit(factor).alias("factor"), "tile", "row", "col", (F.col("s") / F.col("n")).alias(value))
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
 def mosaic(*grids: DataFrame) -> DataFrame:
     """Union of grids; where they overlap the later one shows."""
     layers = [g.withColumn("_layer", F.lit(i)) for i, g in enumerate(grids)]

@@ -110,6 +110,71 @@ def test_nearest_ties_go_to_the_first_row():
     assert np.isnan(focal.nearest(np.full((2, 2), np.nan))).all()
 
 
+def brute_nearest(grid_):
+    full = np.argwhere(~np.isnan(grid_))
+    out = grid_.copy()
+    for r, c in np.argwhere(np.isnan(grid_)):
+        out[r, c] = grid_[tuple(full[((full - (r, c)) ** 2).sum(axis=1).argmin()])]  # argmin takes the first in row order
+    return out
+
+
+def test_nearest_matches_brute_force():
+    draw = np.random.default_rng(5)
+    for height, width, share in ((1, 9, 0.5), (9, 1, 0.5), (17, 23, 0.05), (23, 17, 0.5), (30, 30, 0.95), (40, 12, 0.004)):
+        grid_ = np.arange(height * width, dtype=float).reshape(height, width)
+        holes = grid_.copy()
+        holes[draw.random(grid_.shape) > share] = np.nan
+        if np.isnan(holes).all():
+            holes[height // 2, width // 2] = 1.0
+        assert focal.nearest(holes).tolist() == brute_nearest(holes).tolist()
+
+
+def test_nearest_and_relief_of_a_large_block():
+    draw = np.random.default_rng(6)
+    whole = draw.random((1000, 1000)).cumsum(axis=0)
+    holes = whole.copy()
+    holes[draw.random(whole.shape) < 0.1] = np.nan
+    holes[300:700, 200:600] = np.nan  # a lake
+    filled = focal.nearest(holes)
+    empty = np.argwhere(np.isnan(holes))
+    full = ~np.isnan(holes)
+    assert not np.isnan(filled).any() and (filled[full] == whole[full]).all()
+    # Sampled cells against all cells within the distance of any that is found nearby.
+    for r, c in empty[draw.integers(0, len(empty), 60)]:
+        reach = 210
+        r0, c0 = max(0, r - reach), max(0, c - reach)
+        near = np.argwhere(full[r0 : r + reach, c0 : c + reach]) + (r0, c0)
+        best = near[((near - (r, c)) ** 2).sum(axis=1).argmin()]
+        assert filled[r, c] == whole[tuple(best)]
+    scaled = focal.relief(holes, 5.0)
+    assert (scaled[~full] == 128).all() and scaled.std() > 0
+
+
+def test_gaps_fill_alike_in_blocks_and_rounds(spark):
+    draw = np.random.default_rng(8)
+    rows = [("t", 30, 41, r, c, float(draw.integers(0, 100))) for r in range(30) for c in range(41) if draw.random() < 0.04]
+    df = spark.createDataFrame(rows, "tile string, rows int, cols int, row int, col int, v double")
+    step = df
+    for _ in range(5):
+        step = focal.fill_round(step, "v")
+    want = {(r.row, r.col): r.v for r in focal.fill_nearest(step, "v").collect()}
+    for block in (8, 512):
+        got = {(r.row, r.col): r.v for r in focal.fill_gaps(df, "v", block=block).collect()}
+        assert len(got) == 30 * 41 and got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_pyramid(spark):
+    rows = [("t", r, c, float(r * 50 + c)) for r in range(40) for c in range(50) if (r + c) % 3]
+    df = spark.createDataFrame(rows, "tile string, row int, col int, v double")
+    made = {(r.factor, r.row, r.col): r.v for r in grid.pyramid(df, "v").collect()}
+    for factor in (2, 4, 8, 16, 32, 64, 128, 256):
+        cells = {}
+        for _, r, c, v in rows:
+            cells.setdefault((factor, r // factor, c // factor), []).append(v)
+        assert {k: v for k, v in made.items() if k[0] == factor} == {k: pytest.approx(sum(v) / len(v)) for k, v in cells.items()}
+
+
 def test_layers(spark):
     cases = [({"highway": "track", "waterway": "stream"}, "tracks"), ({"highway": "construction", "waterway": "stream"}, "waterways"), ({"highway": "construction"}, None), ({"railway": "abandoned", "power": "line"}, "powerlines"), ({"natural": "cliff"}, "natural_lines")]
     df = spark.createDataFrame([(t, w) for t, w in cases], "tags map<string,string>, want string")
