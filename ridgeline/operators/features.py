@@ -8,22 +8,54 @@ from pyspark.sql import functions as F
 from ridgeline.functions.text import plain_key
 
 # Fixed vocabularies of map tags.
-ROADS = """motorway trunk primary secondary tertiary residential service unclassified living_street motorway_link
- trunk_link primary_link secondary_link tertiary_link""".split()
+ROADS = [
+    "motorway", "trunk", "primary", "secondary", "tertiary", "residential", "service", "unclassified", "living_street", "motorway_link",
+    "trunk_link", "primary_link", "secondary_link", "tertiary_link",
+]
 TRACKS = ["track"]
-PATHS = "path footway cycleway bridleway steps pedestrian".split()
-RAILS = "rail tram light_rail subway narrow_gauge monorail funicular miniature".split()
-NATURAL_LINES = "cliff ridge coastline arete valley".split()
-PEAKS = "peak saddle volcano hill mountain_pass".split()
-PLACES = "city town village hamlet suburb locality island islet isolated_dwelling farm neighbourhood quarter borough".split()
-ROUTES = "mtb bicycle ski hiking foot horse".split()
-WATER_NATURAL = "water wetland bay strait lake".split()
-WATER_LANDUSE = "reservoir basin".split()
-LANDUSE = "forest farmland meadow orchard vineyard allotments cemetery commercial industrial residential retail military quarry landfill".split()
-LANDCOVER = "wood scrub heath grassland fell glacier mud sand beach wetland".split()
-KEPT_HIGHWAYS = "primary secondary tertiary residential unclassified service track path footway cycleway bridleway".split()
-KEPT_WATERWAYS = "stream river canal ditch".split()
-KEPT_COLUMNS = "osm_id highway waterway name surface mtb:scale mtb_scale mtb:scale:imba mtb_scale_imba tracktype geometry".split()
+PATHS = [
+    "path", "footway", "cycleway", "bridleway", "steps", "pedestrian",
+]
+RAILS = [
+    "rail", "tram", "light_rail", "subway", "narrow_gauge", "monorail", "funicular", "miniature",
+]
+NATURAL_LINES = [
+    "cliff", "ridge", "coastline", "arete", "valley",
+]
+PEAKS = [
+    "peak", "saddle", "volcano", "hill", "mountain_pass",
+]
+PLACES = [
+    "city", "town", "village", "hamlet", "suburb", "locality", "island", "islet", "isolated_dwelling", "farm",
+    "neighbourhood", "quarter", "borough",
+]
+ROUTES = [
+    "mtb", "bicycle", "ski", "hiking", "foot", "horse",
+]
+WATER_NATURAL = [
+    "water", "wetland", "bay", "strait", "lake",
+]
+WATER_LANDUSE = [
+    "reservoir", "basin",
+]
+LANDUSE = [
+    "forest", "farmland", "meadow", "orchard", "vineyard", "allotments", "cemetery", "commercial", "industrial", "residential",
+    "retail", "military", "quarry", "landfill",
+]
+LANDCOVER = [
+    "wood", "scrub", "heath", "grassland", "fell", "glacier", "mud", "sand", "beach", "wetland",
+]
+KEPT_HIGHWAYS = [
+    "primary", "secondary", "tertiary", "residential", "unclassified", "service", "track", "path", "footway", "cycleway",
+    "bridleway",
+]
+KEPT_WATERWAYS = [
+    "stream", "river", "canal", "ditch",
+]
+KEPT_COLUMNS = [
+    "osm_id", "highway", "waterway", "name", "surface", "mtb:scale", "mtb_scale", "mtb:scale:imba", "mtb_scale_imba", "tracktype",
+    "geometry",
+]
 
 
 def tag(tags: Column, key: str) -> Column:
@@ -104,12 +136,15 @@ def plain_tags(entries: Column) -> Column:
 def best_routes(relations: DataFrame, members: DataFrame) -> DataFrame:
     """The best route of each way: smallest rank of its kind, then first in the file (``seq``), then id.
 
-    relations: relation_id, seq, route, name; members: relation_id, way_id.  Also returns all
+    relations: relation_id, seq, route, name; members: relation_id, way_id and, where nodes or relations
+    are members too, ``type`` (``w`` for ways; the others don't count).  Also returns all
     memberships.  The minimum combines before the shuffle, so a way in many relations is no burden.
     """
     rank = F.coalesce(*[F.when(F.col("route") == r, i) for i, r in enumerate(ROUTES)])
     named = relations.withColumn("rank", rank).where("rank is not null and coalesce(name, '') <> ''")
-    joined = named.join(members, "relation_id")
+    if "type" in members.columns:
+        members = members.where("type = 'w'")
+    joined = named.join(members.select("relation_id", "way_id"), "relation_id")
     best = F.min_by(F.struct("route", "name", "relation_id"), F.struct("rank", "seq", "relation_id")).alias("best")
     return joined.groupBy("way_id").agg(best, F.count("*").alias("memberships")).select("way_id", F.col("best.route").alias("route_type"), F.col("best.name").alias("route_name"), F.col("best.relation_id").alias("route_relation_id"), "memberships")
 

@@ -202,16 +202,22 @@ def nearest(grid: np.ndarray) -> np.ndarray:
     return grid[rows[source], near[source, columns]]
 
 
+def kernel(sigma: float) -> np.ndarray:
+    """Weights of a Gaussian up to four sigmas."""
+    radius = int(4 * sigma + 0.5)
+    weights = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
+    return weights / weights.sum()
+
+
 def gaussian(grid: np.ndarray, sigma: float) -> np.ndarray:
     """Separable smoothing; the kernel ends at four sigmas and the border is mirrored."""
-    radius = int(4 * sigma + 0.5)
-    kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
-    kernel /= kernel.sum()
+    weights = kernel(sigma)
+    radius = len(weights) // 2
     for axis in (0, 1):
         n = grid.shape[axis]
         around = np.arange(-radius, n + radius) % (2 * n)
         padded = np.take(grid, np.where(around < n, around, 2 * n - 1 - around), axis=axis)
-        grid = sum(k * np.take(padded, np.arange(i, i + n), axis=axis) for i, k in enumerate(kernel))
+        grid = sum(k * np.take(padded, np.arange(i, i + n), axis=axis) for i, k in enumerate(weights))
     return grid
 
 
@@ -226,13 +232,13 @@ def relief(grid: np.ndarray, sigma: float = 50.0, limit: float = 3.0) -> np.ndar
     return scaled
 
 
-def map_blocks(blocks: DataFrame, kernel, schema: str, height: int, width: int) -> DataFrame:
-    """Applies a numpy kernel to each row's block (``id``, ``data`` array of height * width, nulls empty), batch by batch."""
+def map_blocks(blocks: DataFrame, made, schema: str, height: int, width: int) -> DataFrame:
+    """Applies a function of numpy arrays to each row's block (``id``, ``data`` array of height * width, nulls empty), batch by batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             grids = [np.array([np.nan if v is None else v for v in d], dtype=np.float64).reshape(height, width) for d in batch["data"]]
-            yield pd.DataFrame({"id": batch["id"], "data": [kernel(g).ravel().tolist() for g in grids]})
+            yield pd.DataFrame({"id": batch["id"], "data": [made(g).ravel().tolist() for g in grids]})
 
     return blocks.select("id", "data").mapInPandas(run, schema)
 

@@ -56,11 +56,32 @@ def grid_chm(spark, d):
     return cells.select("tile", "row", "col", _r(grid.canopy(F.col("dsm"), F.col("dtm"))).alias("chm"))
 
 
-@query()
+#: Means of few whole numbers often end right between two roundings, where the last bit of a sum decides; off by this they don't.
+_OFF = 0.00017
+_WINDOW = "(SELECT a AS dr, b AS dc FROM range(-1, 2) x(a), range(-1, 2) y(b))"
+
+
+def _filled(value: str, rounds: int = 5) -> str:
+    """Tables up to ``filled`` (tile, row, col, v): rounds of window means, then the nearest cell with data."""
+    steps = [f"""r0 AS MATERIALIZED (SELECT g.tile, g.rows, g.cols, g.row, g.col, {value} AS v FROM (
+  SELECT tile, rows, cols, unnest(range(rows))::INT AS row, col FROM (SELECT DISTINCT tile, rows, cols, unnest(range(cols))::INT AS col FROM cells)) g LEFT JOIN cells USING (tile, row, col))"""]
+    for k in range(1, rounds + 1):
+        steps.append(f"""n{k} AS MATERIALIZED (SELECT c.*, least(greatest(c.row + o.dr, 0), c.rows - 1)::INT AS nrow, least(greatest(c.col + o.dc, 0), c.cols - 1)::INT AS ncol FROM r{k - 1} c, {_WINDOW} o),
+r{k} AS MATERIALIZED (SELECT c.tile, c.rows, c.cols, c.row, c.col, coalesce(max(c.v), avg(n.v)) AS v FROM n{k} c JOIN r{k - 1} n ON n.tile = c.tile AND n.row = c.nrow AND n.col = c.ncol GROUP BY ALL)""")
+    # The nearest cell of each row for every column first, then the nearest of those for every row.
+    steps.append(f"""rowwise AS MATERIALIZED (
+  SELECT tile, row, col, CASE WHEN before IS NULL THEN after WHEN after IS NULL OR col - before.c <= after.c - col THEN before ELSE after END AS pick FROM (
+    SELECT tile, row, col, last_value(CASE WHEN v IS NOT NULL THEN {{'c': col, 'v': v}} END IGNORE NULLS) OVER (PARTITION BY tile, row ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS before,
+      first_value(CASE WHEN v IS NOT NULL THEN {{'c': col, 'v': v}} END IGNORE NULLS) OVER (PARTITION BY tile, row ORDER BY col ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after FROM r{rounds})),
+filled AS (SELECT a.tile, a.row, a.col, min_by(b.pick.v, {{'d': (b.row - a.row) ** 2 + (b.pick.c - a.col) ** 2, 'r': b.row}}) AS v
+  FROM r{rounds} a JOIN rowwise b ON b.tile = a.tile AND b.col = a.col AND b.pick IS NOT NULL GROUP BY a.tile, a.row, a.col)""")
+    return ", ".join(steps)
+
+
+@query(f"WITH {S.POINTS}, {_filled('dsm - dtm')} SELECT tile, row, col, round(CASE WHEN v < 0.5 THEN 0 ELSE v END - {_OFF}, 3)::DOUBLE + 0.0::DOUBLE AS chm FROM filled")
 def grid_chm_filled(spark, d):
     cells = grid.surfaces(S.points(spark, d)).select("tile", "rows", "cols", "row", "col", "dsm", "dtm")
-    both = focal.fill_gaps(cells.drop("dtm"), "dsm").join(focal.fill_gaps(cells.drop("dsm"), "dtm").drop("rows", "cols"), ["tile", "row", "col"])
-    return both.select("tile", "row", "col", _r(grid.canopy(F.col("dsm"), F.col("dtm"))).alias("chm"))
+    return grid.filled_canopy(cells).select("tile", "row", "col", (_r(F.col("chm") - _OFF, 3) + 0.0).alias("chm"))
 
 
 @query(f"WITH {S.POINTS} SELECT tile, cols, rows, count(*)::BIGINT AS cells, count(dtm)::BIGINT AS ground, bool_and(dtm IS NOT NULL) AS whole FROM cells GROUP BY ALL")
@@ -74,6 +95,11 @@ def grid_overview(spark, d):
     return grid.overview(grid.surfaces(S.points(spark, d)), 4, "dsm").withColumn("dsm", _r(F.col("dsm"), 4))
 
 
+@query(f"WITH {S.POINTS} " + " UNION ALL ".join(f"SELECT {f} AS factor, tile, (row // {f})::INT AS row, (col // {f})::INT AS col, round(avg(dsm), 4) AS dsm FROM cells GROUP BY ALL" for f in (2, 4, 8, 16, 32, 64, 128, 256)))
+def grid_pyramid(spark, d):
+    return grid.pyramid(grid.surfaces(S.points(spark, d)), "dsm").withColumn("dsm", _r(F.col("dsm"), 4))
+
+
 @query(f"WITH {S.POINTS} SELECT row, col, max_by(tile, tile) AS tile, max_by(dsm, tile) AS dsm FROM cells GROUP BY ALL")
 def grid_mosaic(spark, d):
     cells = grid.surfaces(S.points(spark, d)).select("tile", "row", "col", "dsm")
@@ -100,10 +126,10 @@ def focal_fill_once(spark, d):
     return focal.fill_round(S.block_cells(spark, d), "v").select("tile", "row", "col", _r(F.col("v")).alias("v"))
 
 
-@query()
+@query(f"WITH {S.POINTS}, {_filled('dtm')} SELECT tile, row, col, round(v - {_OFF}, 3) AS dtm FROM filled")
 def focal_fill_five(spark, d):
     cells = grid.surfaces(S.points(spark, d)).select("tile", "rows", "cols", "row", "col", "dtm")
-    return focal.fill_gaps(cells, "dtm").select("tile", "row", "col", _r(F.col("dtm"), 3).alias("dtm"))
+    return focal.fill_gaps(cells, "dtm").select("tile", "row", "col", _r(F.col("dtm") - _OFF, 3).alias("dtm"))
 
 
 @query(f"""WITH {S.BLOCKS}, pairs AS (SELECT c.tile, c.row, c.col, n.v, row_number() OVER (PARTITION BY c.tile, c.row, c.col ORDER BY (n.row - c.row) ** 2 + (n.col - c.col) ** 2, n.row, n.col) AS k
@@ -114,7 +140,22 @@ def nearest_fill(spark, d):
     return filled.select(F.col("id").alias("tile"), F.posexplode("data").alias("pos", "v")).selectExpr("tile", "cast(pos div 8 AS int) AS row", "cast(pos % 8 AS int) AS col", "v")
 
 
-@query()
+def _relief_sql() -> str:
+    """Relief of the 8 x 8 blocks: nearest fill, times ten, less a Gaussian of one cell with a mirrored border."""
+    kernel = focal.kernel(1.0)
+    weights = ", ".join(f"({k - 4}, {w!r}::DOUBLE)" for k, w in enumerate(kernel.tolist()))
+    mirrored = lambda c: f"CASE WHEN ({c} + 16) % 16 < 8 THEN ({c} + 16) % 16 ELSE 15 - ({c} + 16) % 16 END"
+    return f"""WITH {S.BLOCKS}, weights(k, w) AS (VALUES {weights}),
+pairs AS (SELECT c.tile, c.row, c.col, n.v, row_number() OVER (PARTITION BY c.tile, c.row, c.col ORDER BY (n.row - c.row) ** 2 + (n.col - c.col) ** 2, n.row, n.col) AS k
+  FROM bl c JOIN bl n ON n.tile = c.tile AND n.v IS NOT NULL),
+whole AS MATERIALIZED (SELECT tile, row, col, v * 10 AS v FROM pairs WHERE k = 1),
+down AS MATERIALIZED (SELECT a.tile, a.row, a.col, sum(w * b.v) AS v FROM whole a, weights JOIN whole b ON b.tile = a.tile AND b.col = a.col AND b.row = {mirrored('a.row + k')} GROUP BY ALL),
+smooth AS (SELECT a.tile, a.row, a.col, sum(w * b.v) AS v FROM down a, weights JOIN down b ON b.tile = a.tile AND b.row = a.row AND b.col = {mirrored('a.col + k')} GROUP BY ALL)
+SELECT tile, (row * 8 + col)::INT AS pos, CASE WHEN bl.v IS NULL THEN 128 ELSE round_even((greatest(least((whole.v - smooth.v) / 3, 1), -1) + 1) * 127.5::DOUBLE, 0)::INT END AS relief
+FROM bl JOIN whole USING (tile, row, col) JOIN smooth USING (tile, row, col)"""
+
+
+@query(_relief_sql())
 def lrm_u8(spark, d):
     made = focal.map_blocks(S.blocks(spark, d), lambda g: focal.relief(g * 10, 1.0, 3.0).astype(int), "id long, data array<int>", 8, 8)
     return made.select(F.col("id").alias("tile"), F.posexplode("data").alias("pos", "relief"))
@@ -310,11 +351,22 @@ def bbox_filter(spark, d):
     return S.places(spark, d, "customer", "c_custkey").where(features.in_box(F.col("lon"), F.col("lat"), (13.0, 60.0, 15.5, 61.25))).select("id")
 
 
-@query()
+_SPOT = "'[' || lon || ',' || lat || ']'"
+_EAST = "'[' || (lon + 0.01::DOUBLE) || ',' || lat || ']'"
+_NORTH = "'[' || lon || ',' || (lat + 0.01::DOUBLE) || ']'"
+
+
+@query(f"""SELECT id, '{{"type":"Feature","geometry":' || CASE id % 3
+    WHEN 0 THEN '{{"type":"Point","coordinates":' || {_SPOT} || '}}'
+    WHEN 1 THEN '{{"type":"LineString","coordinates":[' || {_SPOT} || ',' || {_EAST} || ']}}'
+    ELSE '{{"type":"Polygon","coordinates":[[' || {_SPOT} || ',' || {_EAST} || ',' || {_NORTH} || ',' || {_SPOT} || ']]}}' END
+  || ',"properties":{{"name":"s' || id || '"}}}}' AS feature FROM {S.place_sql('supplier', 's_suppkey')}""")
 def geojson_feature(spark, d):
-    line = F.array(F.struct("lon", "lat"), F.struct((F.col("lon") + 0.01).alias("lon"), F.col("lat")))
+    here, east, north = F.struct("lon", "lat"), F.struct((F.col("lon") + 0.01).alias("lon"), F.col("lat")), F.struct(F.col("lon"), (F.col("lat") + 0.01).alias("lat"))
     props = F.create_map(F.lit("name"), F.concat(F.lit("s"), F.col("id")), F.lit("none"), F.lit(None).cast("string"))
-    return S.places(spark, d, "supplier", "s_suppkey").select("id", geo.feature_json(line, props).alias("feature"))
+    shapes = (geo.point_geometry(here), geo.line_geometry(F.array(here, east)), geo.polygon_geometry(F.array(F.array(here, east, north, here))))
+    made = [geo.feature_json(shape, props) for shape in shapes]
+    return S.places(spark, d, "supplier", "s_suppkey").select("id", F.when(F.col("id") % 3 == 0, made[0]).when(F.col("id") % 3 == 1, made[1]).otherwise(made[2]).alias("feature"))
 
 
 # Trails
@@ -395,28 +447,93 @@ def nearest_within(spark, d):
 
 
 @query(f"""WITH {S.POINTS}, p AS (SELECT c_custkey AS id, c_custkey % 120 + 0.5 AS x, (c_custkey * 7) % 100 + 0.5 AS y, CASE WHEN c_custkey % 4 = 0 THEN '777' END AS ele FROM customer),
-c AS (SELECT row, col, dsm FROM cells WHERE tile = 'N')
+c AS (SELECT row, col, max_by(dsm, tile) AS dsm FROM cells GROUP BY ALL)
 SELECT p.id, coalesce(p.ele, round_even(c.dsm, 0)::BIGINT::VARCHAR) AS ele FROM p LEFT JOIN c ON c.col = floor(p.x)::INT AND c.row = floor(100 - p.y)::INT""")
 def peak_elevation(spark, d):
     peaks = S.table(spark, d, "customer").selectExpr("c_custkey AS id", "c_custkey % 120 + 0.5D AS x", "(c_custkey * 7) % 100 + 0.5D AS y", "CASE WHEN c_custkey % 4 = 0 THEN '777' ELSE '' END AS ele")
-    cells = grid.surfaces(S.points(spark, d)).where("tile = 'N'").selectExpr("row", "col", "dsm AS v")
-    return spatial.fill_elevation(peaks, cells, 0.0, 100.0, 1.0).select("id", "ele")
+    return spatial.fill_elevation(peaks, _mosaic(spark, d), 0.0, 100.0, 1.0).select("id", "ele")
 
 
-@query()
+_MOSAIC = "mos AS MATERIALIZED (SELECT row, col, max_by(dsm, tile) AS v FROM cells GROUP BY ALL)"
+
+
+def _mosaic(spark, d):
+    cells = grid.surfaces(S.points(spark, d)).select("tile", "row", "col", F.col("dsm").alias("v"))
+    return grid.mosaic(*[cells.where(F.col("tile") == t) for t in ("A", "N", "R")]).select("row", "col", "v")
+
+
+def _between(keys: str, digits: int = 3) -> str:
+    """Values between the four cell centres around (fx, fy) of ``asked``, by its keys."""
+    return f"""corners AS (SELECT {keys}, (floor(fy) + j)::INT AS row, (floor(fx) + i)::INT AS col, abs(fx - floor(fx) - (1 - i)) * abs(fy - floor(fy) - (1 - j)) AS w
+  FROM asked, range(2) a(i), range(2) b(j))
+SELECT {keys}, round(sum(v * w) / sum(w) FILTER (v IS NOT NULL), {digits}) AS v FROM corners LEFT JOIN mos USING (row, col) WHERE w > 0 GROUP BY {keys}"""
+
+
+@query(f"""WITH {S.POINTS}, {_MOSAIC},
+asked AS (SELECT c_custkey AS id, (c_custkey * 31) % 1000 / 10.0::DOUBLE - 0.5::DOUBLE AS fx, 100 - (c_custkey * 17) % 1000 / 10.0::DOUBLE - 0.5::DOUBLE AS fy FROM customer), {_between("id")}""")
 def bilinear_warp(spark, d):
-    cells = grid.surfaces(S.points(spark, d)).where("tile = 'N'").selectExpr("row", "col", "dsm AS v")
     targets = S.table(spark, d, "customer").selectExpr("c_custkey AS id", "(c_custkey * 31) % 1000 / 10.0D AS x", "(c_custkey * 17) % 1000 / 10.0D AS y")
-    return spatial.bilinear(targets, cells, 0.0, 100.0, 1.0).select("id", _r(F.col("v"), 3).alias("v"))
+    return spatial.bilinear(targets, _mosaic(spark, d), 0.0, 100.0, 1.0).select("id", _r(F.col("v"), 3).alias("v"))
 
 
-@query()
+def _grid_sql(lon: str, lat: str) -> tuple[str, str]:
+    """Easting and northing of degrees by the forward series; ``t``, ``xi`` and ``eta`` are lateral columns of the query."""
+    _, forward, _ = geo._series()
+    terms = lambda sine, hyper: " + ".join(f"{a!r}::DOUBLE * {sine}({2 * k} * xi) * {hyper}({2 * k} * eta)" for k, a in enumerate(forward, 1))
+    radius = geo._series()[0]
+    return f"500000 + 0.9996::DOUBLE * {radius!r}::DOUBLE * (eta + {terms('cos', 'sinh')})", f"0.9996::DOUBLE * {radius!r}::DOUBLE * (xi + {terms('sin', 'cosh')})"
+
+
+def _projected(source: str) -> str:
+    """Tables up to ``projected``: the columns of ``source`` (lon, lat) with east and north."""
+    n = geo.FLATTENING / (2 - geo.FLATTENING)
+    e = 2 * n**0.5 / (1 + n)
+    east, north = _grid_sql("lon", "lat")
+    return f"""bent AS (SELECT *, sinh(0.5::DOUBLE * ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) - {e!r}::DOUBLE * 0.5::DOUBLE * ln((1 + {e!r}::DOUBLE * sin(radians(lat))) / (1 - {e!r}::DOUBLE * sin(radians(lat))))) AS t, radians(lon - 15) AS across FROM {source}),
+turned AS (SELECT *, atan2(t, cos(across)) AS xi, 0.5::DOUBLE * ln((1 + sin(across) / sqrt(1 + t * t)) / (1 - sin(across) / sqrt(1 + t * t))) AS eta FROM bent),
+projected AS (SELECT *, {east} AS east, {north} AS north FROM turned)"""
+
+
+_WARPED = [(8, x, y) for x in (136, 137, 138) for y in (73, 74, 75)]
+
+
+@query(f"""WITH {S.POINTS}, {_MOSAIC}, chosen(z, x, y) AS (VALUES {", ".join(map(str, _WARPED))}),
+pixels AS (SELECT z, x, y, px::INT AS px, py::INT AS py, degrees((x + (px + 0.5::DOUBLE) / 32) * (2 * pi() / 256) - pi()) AS lon, degrees(atan(sinh(pi() - (y + (py + 0.5::DOUBLE) / 32) * (2 * pi() / 256)))) AS lat
+  FROM chosen, range(32) a(px), range(32) b(py)), {_projected("pixels")},
+asked AS (SELECT z, x, y, px, py, (east - 400000) / 1000 - 0.5::DOUBLE AS fx, (6700000 - north) / 1000 - 0.5::DOUBLE AS fy FROM projected), found AS ({"WITH " + _between("z, x, y, px, py", 1)}) SELECT * FROM found WHERE v IS NOT NULL""")
+def warped_tiles(spark, d):
+    asked = spark.createDataFrame(_WARPED, "z int, x int, y int")
+    return spatial.warped_tiles(asked, _mosaic(spark, d), 400_000.0, 6_700_000.0, 1000.0, 32).withColumn("v", _r(F.col("v"), 1))
+
+
+_APART = "2 * 6371008.8 * asin(sqrt(least(pow(sin(radians(p.lat - k.lat) / 2), 2) + cos(radians(k.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - k.lon) / 2), 2), 1)))"
+
+
+def _placed_sql(known: str) -> str:
+    """Places found or created one after the other, from a list of those that exist."""
+    return f"""WITH RECURSIVE asked AS (SELECT row_number() OVER (ORDER BY id) AS n, * FROM {S.place_sql('customer', 'c_custkey')}),
+steps AS (
+  SELECT 0::BIGINT AS n, {known} AS places, NULL::BIGINT AS id, NULL::BIGINT AS place_id, false AS created
+  UNION ALL SELECT n, CASE WHEN met.d <= 400 THEN places ELSE list_append(places, {{'id': id, 'lon': lon, 'lat': lat}}) END, id, CASE WHEN met.d <= 400 THEN met.id ELSE id END, coalesce(met.d > 400, true)
+  FROM (SELECT p.n, s.places, p.id, p.lon, p.lat, list_min(list_transform(s.places, lambda k: {{'d': {_APART}, 'id': k.id}})) AS met FROM steps s JOIN asked p ON p.n = s.n + 1))
+SELECT id, place_id, created FROM steps WHERE n > 0"""
+
+
+@query(_placed_sql("[]::STRUCT(id BIGINT, lon DOUBLE, lat DOUBLE)[]"))
 def find_or_create_places(spark, d):
     points = S.places(spark, d, "customer", "c_custkey").withColumn("created_at", F.col("id"))
     return spatial.find_or_create(points, 400.0)
 
 
-@query()
+@query(_placed_sql(f"(SELECT list({{'id': -id, 'lon': lon, 'lat': lat}}) FROM {S.place_sql('supplier', 's_suppkey')})"))
+def find_among_existing_places(spark, d):
+    points = S.places(spark, d, "customer", "c_custkey").withColumn("created_at", F.col("id"))
+    places = S.places(spark, d, "supplier", "s_suppkey").selectExpr("-id AS place_id", "lon", "lat")
+    return spatial.find_or_create(points, 400.0, places)
+
+
+@query(f"""WITH places AS (SELECT * FROM {S.place_sql('customer', 'c_custkey')}), {_projected("places")}
+SELECT id, round(east, 3) AS east, round(north, 3) AS north, 0.0::DOUBLE AS dlon, 0.0::DOUBLE AS dlat FROM projected""")
 def crs_round_trip(spark, d):
     placed = S.places(spark, d, "customer", "c_custkey")
     east, north = geo.to_grid(F.col("lon"), F.col("lat"))
@@ -425,6 +542,15 @@ def crs_round_trip(spark, d):
     return moved.select("id", _r(F.col("east"), 3).alias("east"), _r(F.col("north"), 3).alias("north"), (_r(lon - F.col("lon"), 8) + 0.0).alias("dlon"), (_r(lat - F.col("lat"), 8) + 0.0).alias("dlat"))
 
 
+@query(f"""WITH boxes AS (SELECT id, lon AS west, lat AS south, lon + 0.3::DOUBLE AS east_end, lat + 0.2::DOUBLE AS north_end FROM {S.place_sql('supplier', 's_suppkey')}),
+edges AS (SELECT id, unnest([west + (east_end - west) * t, west + (east_end - west) * t, west, east_end]) AS lon, unnest([south, north_end, south + (north_end - south) * t, south + (north_end - south) * t]) AS lat
+  FROM (SELECT *, k / 20.0::DOUBLE AS t FROM boxes, range(21) r(k))), {_projected("edges")}
+SELECT id, round(min(east), 3) AS west, round(min(north), 3) AS south, round(max(east), 3) AS east, round(max(north), 3) AS north FROM projected GROUP BY id""")
+def grid_bounds(spark, d):
+    made = geo.grid_bounds(F.col("lon"), F.col("lat"), F.col("lon") + 0.3, F.col("lat") + 0.2)
+    return S.places(spark, d, "supplier", "s_suppkey").select("id", made.alias("b")).select("id", *[_r(F.col(f"b.{c}"), 3).alias(c) for c in ("west", "south", "east", "north")])
+
+
 @query("""SELECT c_custkey AS id, 20 + (c_custkey % 5) BETWEEN 20 AND 23 AND (c_custkey % 7) BETWEEN 0 AND 4 AS inside FROM customer""")
 def inside_ring(spark, d):
     ring = F.array(*[F.struct(F.lit(a).alias("lon"), F.lit(b).alias("lat")) for a, b in ((19.5, -0.5), (23.5, -0.5), (23.5, 4.5), (19.5, 4.5), (19.5, -0.5))])
@@ -520,7 +646,28 @@ def vector_tile_layers(spark, d):
     return vector_tiles.vector_tiles(drawn, F.lit(11)).select("z", "x", "y", "n", F.sha2("data", 256).alias("digest"))
 
 
-@query()
+def _spheroid_sql(rounds: int = 8) -> str:
+    """Nearest supplier of each customer on the spheroid, by rounds of the inverse formula over all pairs of close degrees."""
+    axis, f = 6378137.0, 1 / 298.257223563
+    minor = axis * (1 - f)
+    reduced = lambda c: f"atan({1 - f!r}::DOUBLE * tan(radians({c})))"
+    steps = [f"""q0 AS (SELECT p.id AS probe_id, k.id AS known_id, sin({reduced('p.lat')}) AS s1, cos({reduced('p.lat')}) AS c1, sin({reduced('k.lat')}) AS s2, cos({reduced('k.lat')}) AS c2,
+  radians(k.lon - p.lon) AS l, radians(k.lon - p.lon) AS x FROM {S.place_sql('customer', 'c_custkey')} p JOIN {S.place_sql('supplier', 's_suppkey')} k ON abs(p.lat - k.lat) < 0.2 AND abs(p.lon - k.lon) < 0.4)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (SELECT *, sqrt(pow(c2 * sin(x), 2) + pow(c1 * s2 - s1 * c2 * cos(x), 2)) AS sine, s1 * s2 + c1 * c2 * cos(x) AS cosine FROM q{i}),
+b{i} AS (SELECT *, CASE WHEN sine = 0 THEN 0 ELSE c1 * c2 * sin(x) / sine END AS tilt, atan2(sine, cosine) AS arc FROM a{i}),
+d{i} AS (SELECT *, 1 - tilt * tilt AS flat, CASE WHEN 1 - tilt * tilt <= 0 THEN 0 ELSE cosine - 2 * s1 * s2 / (1 - tilt * tilt) END AS m FROM b{i})""")
+        if i < rounds:
+            c = f"({f / 16!r}::DOUBLE * flat * (4 + {f!r}::DOUBLE * (4 - 3 * flat)))"
+            steps.append(f"q{i + 1} AS (SELECT probe_id, known_id, s1, c1, s2, c2, l, l + (1 - {c}) * {f!r}::DOUBLE * tilt * (arc + {c} * sine * (m + {c} * cosine * (2 * m * m - 1))) AS x FROM d{i})")
+    return f"""WITH {", ".join(steps)},
+u AS (SELECT *, flat * {(axis**2 - minor**2) / minor**2!r}::DOUBLE AS u FROM d{rounds}),
+v AS (SELECT *, 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768)) AS big, u / 1024 * (256 + u * (u * (74 - 47 * u) - 128)) AS small FROM u),
+w AS (SELECT probe_id, known_id, {minor!r}::DOUBLE * big * (arc - small * sine * (m + small / 4 * (cosine * (2 * m * m - 1) - small / 6 * m * (4 * sine * sine - 3) * (4 * m * m - 3)))) AS metres FROM v)
+SELECT probe_id, known_id, round(metres, 3) AS metres FROM w WHERE metres <= 15000 QUALIFY row_number() OVER (PARTITION BY probe_id ORDER BY metres, known_id) = 1"""
+
+
+@query(_spheroid_sql())
 def nearest_on_spheroid(spark, d):
     probes = S.places(spark, d, "customer", "c_custkey").withColumnRenamed("id", "probe_id")
     known = S.places(spark, d, "supplier", "s_suppkey").withColumnRenamed("id", "known_id")

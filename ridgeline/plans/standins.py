@@ -85,11 +85,11 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS relation_id", "l_partkey AS way_id")
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS relation_id", "l_partkey AS way_id", "element_at(array('w', 'w', 'w', 'w', 'w', 'n', 'r'), l_linenumber) AS type")
 
 
 ROUTES = """routed AS (SELECT l_partkey AS way_id, o_orderkey AS relation_id, o_orderkey % 1000 AS seq,
   ['mtb', 'bicycle', 'ski', 'hiking', 'foot'][left(o_orderpriority, 1)::INT] AS route, left(o_orderpriority, 1)::INT AS rank,
-  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'R' || (o_orderkey % 97) END AS name FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'R' || (o_orderkey % 97) END AS name FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 5),
 best AS (SELECT way_id, route AS route_type, name AS route_name, relation_id AS route_relation_id, count(*) OVER (PARTITION BY way_id) AS memberships
   FROM routed WHERE name <> '' QUALIFY row_number() OVER (PARTITION BY way_id ORDER BY rank, seq, relation_id) = 1)"""

@@ -96,6 +96,16 @@ def write_features(features: DataFrame, folder: str) -> None:
     features.select("layer", "feature").write.mode("overwrite").partitionBy("layer").text(folder)
 
 
+def write_collections(features: DataFrame, folder: str, size: int = 10_000) -> None:
+    """GeoJSON feature collections of up to about ``size`` features (``layer``, ``feature``), one a file, one folder a
+    layer; layers without features have none."""
+    n = features.where("feature is not null").groupBy("layer").count().withColumnRenamed("count", "n")
+    cut = features.where("feature is not null").join(n, "layer").withColumn("part", F.pmod(F.xxhash64("feature"), F.ceil(F.col("n") / size)))
+    joined = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.sort_array(F.collect_list("feature")), ","), F.lit("]}"))
+    whole = cut.groupBy("layer", "part").agg(joined.alias("value")).select("layer", "value")
+    whole.write.mode("overwrite").option("maxRecordsPerFile", 1).option("lineSep", "\n").partitionBy("layer").text(folder)
+
+
 def byte_range(data: Column, first: Column, last: Column) -> Column:
     """Bytes first to last of a binary, both included."""
     return F.substring(data, first + 1, F.least(last, F.octet_length(data) - 1) - first + 1)

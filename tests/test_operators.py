@@ -228,6 +228,63 @@ def test_find_or_create_goes_by_order(spark):
     assert made([("b", 10), ("a", 0), ("c", 20)]) == {"a": "b", "b": "b", "c": "b"}
 
 
+def test_nearest_at_any_latitude(spark):
+    draw = np.random.default_rng(11)
+    spots = [(float(lon), float(lat)) for lat in (-89.99, -85.0, -60.0, 0.0, 45.0, 76.0, 85.0, 89.5, 89.95) for lon in (-179.95, -60.0, 0.0, 179.98) for _ in range(4)]
+    some = lambda: [(i, (lon + draw.normal() * 0.05 / max(0.02, math.cos(math.radians(lat))) + 180) % 360 - 180, max(-90.0, min(90.0, lat + draw.normal() * 0.05))) for i, (lon, lat) in enumerate(spots)]
+    probes, known = some(), some()
+    got = {r.probe_id: r.known_id for r in spatial.nearest_within(spark.createDataFrame(probes, "probe_id long, lon double, lat double"), spark.createDataFrame(known, "known_id long, lon double, lat double"), 15_000.0).collect()}
+    want = {}
+    for i, lon, lat in probes:
+        near = min((spatial._apart(lon, lat, a, b), k) for k, a, b in known)
+        if near[0] <= 15_000:
+            want[i] = near[1]
+    assert got == want and len(want) > 100
+
+
+def test_find_among_existing_places(spark):
+    step = math.degrees(10 / geo.EARTH_RADIUS)
+    points = spark.createDataFrame([("p", 15.0, 60.0, 1), ("q", 15.0, 60.0 + 3 * step, 2), ("r", 179.99999, 10.0, 3), ("s", 15.0, 60.0 + 4 * step, 4), ("t", None, 60.0, 5)], "id string, lon double, lat double, created_at int")
+    places = spark.createDataFrame([("old", 15.0, 60.0 + step), ("far", 16.0, 60.0), ("west", -179.99999, 10.0)], "place_id string, lon double, lat double")
+    made = {r.id: (r.place_id, r.created) for r in spatial.find_or_create(points, 15.0, places).collect()}
+    assert made == {"p": ("old", False), "q": ("q", True), "r": ("west", False), "s": ("q", False)}
+    # A second batch finds what the first one made.
+    now = places.unionByName(spark.createDataFrame([("q", 15.0, 60.0 + 3 * step)], "place_id string, lon double, lat double"))
+    assert {r.id: r.place_id for r in spatial.find_or_create(points.where("id = 'q'").withColumn("id", F.lit("q2")), 15.0, now).collect()} == {"q2": "q"}
+    assert spatial.find_or_create(points.limit(0), 15.0, places).count() == 0
+
+
+def test_collections(spark, tmp_path):
+    import glob
+    import json
+
+    df = spark.createDataFrame([(i, "a" if i < 25 else "b", float(i)) for i in range(30)], "id long, layer string, lon double").withColumn("lat", F.lit(1.0))
+    made = df.select("layer", geo.feature_json(geo.point_geometry(F.struct("lon", "lat")), F.create_map(F.lit("n"), F.col("id").cast("string"), F.lit("none"), F.lit(None).cast("string"))).alias("feature"))
+    files.write_collections(made, str(tmp_path / "out"), size=10)
+    met = {}
+    for path in glob.glob(str(tmp_path / "out/layer=*/*.txt")):
+        whole = json.load(open(path))
+        assert whole["type"] == "FeatureCollection"
+        met.setdefault(path.split("layer=")[1][0], []).extend(f["properties"]["n"] for f in whole["features"])
+    assert {k: sorted(map(int, v)) for k, v in met.items()} == {"a": list(range(25)), "b": list(range(25, 30))}
+
+
+def test_only_ways_are_members(spark):
+    relations = spark.createDataFrame([(1, 1, "mtb", "M")], "relation_id long, seq long, route string, name string")
+    members = spark.createDataFrame([(1, 7, "w"), (1, 8, "n"), (1, 9, "r")], "relation_id long, way_id long, type string")
+    assert [r.way_id for r in features.best_routes(relations, members).collect()] == [7]
+
+
+def test_water_lies_over_the_shaded_ramp(spark):
+    df = spark.createDataFrame([(0.0, 1.0, False), (0.5, 0.5, False), (1.0, 0.0, True)], "t double, s double, w boolean")
+    rows = df.select(*[c.alias(k) for k, c in style.shaded(F.col("t"), F.col("s"), F.col("w")).items()]).collect()
+    assert tuple(rows[2]) == style.WATER
+    assert tuple(rows[0]) == pytest.approx(tuple(0.3 + 0.7 * v / 255 for v in (245, 240, 232)))
+    assert tuple(rows[1]) == pytest.approx(tuple(0.15 + 0.7 * v / 255 for v in (116, 184, 110)))
+    light = df.select(*[c.alias(k) for k, c in style.light_colours(F.col("t")).items()]).collect()
+    assert tuple(light[0]) == ("hsl(240, 15%, 8%)", "hsl(45, 30%, 55%)") and light[2].highlight == "hsl(45, 30%, 90%)"
+
+
 def test_projection_round_trip(spark):
     df = spark.createDataFrame([(12.0, 60.0), (18.5, 67.3)], "lon double, lat double")
     east, north = geo.to_grid(F.col("lon"), F.col("lat"))
@@ -289,4 +346,11 @@ def test_found_places_match_one_pass(spark):
     df = spark.createDataFrame(rows, "id long, lon double, lat double, created_at long")
     found = sorted(tuple(r) for r in spatial.find_or_create(df, 15.0).collect())
     ordered = sorted(rows, key=lambda r: (r[3], r[0]))
-    assert found == sorted(spatial._greedy([], [r[:3] for r in ordered], 15.0))
+    places, want = [], []
+    for i, lon_, lat_, _ in ordered:
+        near = min(((spatial._apart(lon_, lat_, a, b), k) for k, a, b in places), default=(16.0, None))
+        new = near[0] > 15
+        if new:
+            places.append((i, lon_, lat_))
+        want.append((i, i if new else near[1], new))
+    assert found == sorted(want)
