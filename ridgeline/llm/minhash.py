@@ -5,8 +5,10 @@
    have, which goes on as one representative, so copies are never paired.
 2. Signatures are cut into bands of four values.  As many bands are used as make the chance that
    two texts at the threshold share none smaller than ``BAND_MISS``.
-3. Each bucket's members are first held against its smallest member (a star).  Links found there
-   join members into components.
+3. Each bucket's members are dealt to parts by a hash; members are first held against the smallest
+   one of their part, and these against the smallest one of the bucket (a tree of two levels, so
+   that no signature or set of a bucket's lead meets all of a large bucket in one task).  Links
+   found there join members into components.
 4. In buckets that still hold several components, members of different components are held
    against each other, in blocks of bounded size; the largest component of a bucket is compared
    with the rest only, not with itself.  A pair is looked at in the first band it shares, and
@@ -39,6 +41,8 @@ BAND_MISS, MISS = 1e-6, 1e-5
 BATCH = 16
 #: Members of a block, about.
 BLOCK = 512
+#: Parts of a bucket, each with a member that the others are first held against.
+PARTS = 256
 #: A list of ids up to so many (8 bytes each) may be broadcast; a longer one is joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CACHE_ENTRIES = 400_000
@@ -174,6 +178,15 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u4").reshape(-1, size)
 
 
+def trees(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that join each bucket's members: the bucket's lead with the smallest
+    member of each part, and that one with the others of its part; one pair less than members."""
+    parted = members.withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(PARTS)))
+    heads = parted.groupBy("bucket", "piece").agg(F.min("id").alias("head"), F.min("lead").alias("lead"))
+    low = parted.drop("lead").join(heads, ["bucket", "piece"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    return low.unionByName(heads.where("head <> lead").select(F.col("lead").alias("a"), F.col("head").alias("b"))).distinct()
+
+
 def prune(pairs: DataFrame, classes: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures leave the threshold possible."""
     steps = least_matches(percent, size)
@@ -368,8 +381,7 @@ def near_duplicates(df: DataFrame, *, words: int = 5, percent: int = 80, id_col:
     shared = banded.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("most"))
     members = materialize(banded.join(shared.where("lead <> most").select("bucket", "lead"), "bucket"))
 
-    stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = verify(materialize(prune(stars, classes, percent, size)), docs, classes, percent, words, size)
+    links = verify(materialize(prune(trees(members), classes, percent, size)), docs, classes, percent, words, size)
     labels = components(links)
     crossed = materialize(cross_tasks(members.drop("lead"), labels, classes, percent, size))
     more = cross_links(crossed, docs, classes, percent, words, size)

@@ -79,6 +79,17 @@ def test_near_duplicates_match_brute_force(spark, words, percent, monkeypatch):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_trees_join_the_members_of_a_bucket_by_small_parts(spark):
+    members = spark.createDataFrame([(7, i, 0) for i in range(2000)] + [(8, 5000, 5000), (8, 5009, 5000)], "bucket long, id long, lead long")
+    pairs = [tuple(r) for r in minhash.trees(members).collect()]
+    assert len(pairs) == 2000  # one less than members in each bucket
+    reached = {0, 5000}
+    for _ in range(2):
+        reached |= {b for a, b in pairs if a in reached}
+    assert reached == set(range(2000)) | {5000, 5009}
+    assert max(sum(a == x for a, _ in pairs) for x in (0, 1, 2, 3)) <= minhash.PARTS + 50
+
+
 def test_one_row_of_each_component_stays_whatever_the_ids(spark):
     a, b, c, d = (prose(i, 80) for i in range(4))
     rows = [
