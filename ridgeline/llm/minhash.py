@@ -41,6 +41,8 @@ BAND_MISS, MISS = 1e-6, 1e-5
 BATCH = 16
 #: Members of a block, about.
 BLOCK = 512
+#: Pairs of a block whose signatures are compared at once.
+PAIRS = 65_536
 #: Parts of a bucket, each with a member that the others are first held against.
 PARTS = 256
 #: A list of ids up to so many (8 bytes each) may be broadcast; a longer one is joined by a shuffle.
@@ -164,11 +166,11 @@ def shingle_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, words: int
     return rows.mapInArrow(pack, "id long, set binary").dropDuplicates(["id"])  # the first row may be repeated
 
 
-def survives(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
-    """Positions of the pairs of signatures (rows of both) that no batch drops."""
-    alive, matches, at = np.arange(len(left)), np.zeros(len(left), dtype=np.int64), 0
+def survives(left: np.ndarray, x: np.ndarray, right: np.ndarray, y: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
+    """Positions of the pairs (row x of left, row y of right) of signatures that no batch drops; a batch's values alone are copied."""
+    alive, matches, at = np.arange(len(x)), np.zeros(len(x), dtype=np.int64), 0
     for n, least in steps:
-        matches += (left[alive, at:n] == right[alive, at:n]).sum(axis=1)
+        matches += (left[x[alive], at:n] == right[y[alive], at:n]).sum(axis=1)
         go = matches >= least
         alive, matches, at = alive[go], matches[go], n
     return alive
@@ -194,7 +196,8 @@ def prune(pairs: DataFrame, classes: DataFrame, percent: int, size: int) -> Data
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                kept = pa.array(survives(_matrix(batch.column(2), size), _matrix(batch.column(3), size), steps))
+                every = np.arange(batch.num_rows)
+                kept = pa.array(survives(_matrix(batch.column(2), size), every, _matrix(batch.column(3), size), every, steps))
                 yield pa.record_batch([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
 
     sig = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
@@ -265,16 +268,18 @@ def cross_tasks(members: DataFrame, labels: DataFrame, classes: DataFrame, perce
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, i, j, band), ids, part, block, sigs in _groups(batches, size):
             first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            step = max(1, 200_000 // max(1, len(second)))
+            step = max(1, PAIRS // max(1, len(second)))
             left, right = [], []
             for at in range(0, len(first), step):
                 x, y = (g.ravel() for g in np.meshgrid(first[at : at + step], second, indexing="ij"))
                 use = (part[x] != part[y]) & ((ids[x] < ids[y]) | (i != j))
                 x, y = x[use], y[use]
-                kept = survives(sigs[x], sigs[y], steps)
+                kept = survives(sigs, x, sigs, y, steps)
                 x, y = x[kept], y[kept]
                 if band and len(x):
-                    earlier = (sigs[x, : band * ROWS] == sigs[y, : band * ROWS]).reshape(len(x), band, ROWS).all(axis=2).any(axis=1)
+                    earlier = np.zeros(len(x), dtype=bool)
+                    for b in range(0, band * ROWS, ROWS):
+                        earlier |= (sigs[x, b : b + ROWS] == sigs[y, b : b + ROWS]).all(axis=1)
                     x, y = x[~earlier], y[~earlier]
                 left.append(x)
                 right.append(y)
